@@ -190,7 +190,7 @@ def delivered(rows: DataFrame) -> DataFrame:
 
 
 def write_manifests(rows: DataFrame, control: str) -> None:
-    """One manifest per date, naming one key per region."""
+    """One manifest file per date, naming one key per region; earlier ones stay."""
     day = F.col("ingest_date").cast("string")
     key = F.concat(F.lit("raw/region="), F.col("region"), F.lit("/ingest_date="), day)
     manifests = (
@@ -199,7 +199,8 @@ def write_manifests(rows: DataFrame, control: str) -> None:
         .agg(F.array_sort(F.collect_list(key)).alias("regions"))
         .select(day.alias("date"), "regions", "ingest_date")
     )
-    manifests.hint("rebalance", F.col("ingest_date")).write.partitionBy("ingest_date").json(control)
+    spread = manifests.hint("rebalance", F.col("ingest_date"))
+    spread.write.mode("append").partitionBy("ingest_date").json(control)
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

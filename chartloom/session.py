@@ -42,7 +42,11 @@ def build_session(
     ``shuffle_partitions`` high (AQE merges the small ones); the default
     suits neither a laptop nor 100 TB.
     """
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName(app)
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+    )
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
