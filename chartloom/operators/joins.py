@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.schemas import CHART, ChartColumns
@@ -126,6 +126,16 @@ def region_patterns(
     return entities.groupBy(*by, *counters).agg(F.count(F.lit(1)).alias("entities"))
 
 
+def by_region(regions: tuple[str, ...], region: str, count: str) -> Column:
+    """The counters of ``region_counts`` as an array of (region, count), to be inlined."""
+    return F.array(
+        *[
+            F.struct(F.lit(r).alias(region), F.col(f"n{i}").alias(count))
+            for i, r in enumerate(regions)
+        ]
+    )
+
+
 def pair_counts(
     df: DataFrame, regions: tuple[str, ...], by: list[str], cols: ChartColumns = CHART
 ) -> DataFrame:
@@ -136,20 +146,12 @@ def pair_counts(
     """
     rows = df.filter(F.col(cols.region).isin(*regions))
     patterns = region_patterns(rows, regions, by, cols)
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("region_a"),
-                F.lit(b).alias("region_b"),
-                (F.col(f"n{i}") * F.col(f"n{j}") * F.col("entities")).alias("shared"),
-            )
-            for i, a in enumerate(regions)
-            for j, b in enumerate(regions)
-        ]
+    left = patterns.select("*", F.inline(by_region(regions, "region_a", "count_a")))
+    pairs = left.filter("count_a > 0").select(
+        "*", F.inline(by_region(regions, "region_b", "count_b"))
     )
     return (
-        patterns.select(*by, F.inline(pairs))
-        .filter("shared > 0")
+        pairs.filter("count_b > 0")
         .groupBy(*by, "region_a", "region_b")
-        .agg(F.sum("shared").alias("shared"))
+        .agg(F.sum(F.col("count_a") * F.col("count_b") * F.col("entities")).alias("shared"))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.operators.joins import pair_counts, region_counts, region_patterns
+from chartloom.operators.joins import by_region, pair_counts, region_counts, region_patterns
 from chartloom.operators.overview import present_in
 from chartloom.operators.scope import Scope, scope_filter
 from chartloom.operators.topk import top_k
@@ -42,22 +42,16 @@ def exclusive_shared(df: DataFrame, scope: Scope, cols: ChartColumns = CHART) ->
         patterns = region_counts(rows, [cols.entity], regions, cols).withColumn(
             "entities", F.lit(1).cast("bigint")
         )
-    several = present_in(regions) > 1
-    by_region = F.array(
-        *[
-            F.struct(
-                F.lit(r).alias(cols.region),
-                F.when(~several, F.col(f"n{i}") * F.col("entities")).otherwise(0).alias("e"),
-                F.when(several, F.col(f"n{i}") * F.col("entities")).otherwise(0).alias("s"),
-            )
-            for i, r in enumerate(regions)
-        ]
-    )
+    appearances = F.col("_n") * F.col("entities")
     return (
-        patterns.select(F.inline(by_region))
+        patterns.withColumn("_several", present_in(regions) > 1)
+        .select("_several", "entities", F.inline(by_region(regions, cols.region, "_n")))
+        .filter("_n > 0")
         .groupBy(cols.region)
-        .agg(F.sum("e").alias("exclusive"), F.sum("s").alias("shared"))
-        .filter("exclusive + shared > 0")
+        .agg(
+            F.sum(F.when(F.col("_several"), 0).otherwise(appearances)).alias("exclusive"),
+            F.sum(F.when(F.col("_several"), appearances).otherwise(0)).alias("shared"),
+        )
     )
 
 

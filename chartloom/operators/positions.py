@@ -33,21 +33,24 @@ def list_positions(
         "ranges",
     )
     sizes = ranged.groupBy(*by, part).agg(F.count(F.lit(1)).alias("_rows"))
-    # one row per list and range it touches: at most the partition count per list
+    # one row per list and range it touches
     earlier = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(
         *[F.col(c).alias(f"_by_{c}") for c in by],
         F.col(part).alias("_of_range"),
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_shift"),
-    )
+        F.sum("_rows").over(earlier).alias("_shift"),
+    ).filter("_shift IS NOT NULL")
+    # Only a list that goes on into its next range needs a shift there, and a
+    # cut lies inside one list at most: fewer rows than there are ranges.
     same_list = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
-    numbered = ranged.join(
-        shifts, reduce(lambda a, b: a & b, same_list, F.col(part) == F.col("_of_range"))
+    shifted = ranged.join(
+        F.broadcast(shifts),
+        reduce(lambda a, b: a & b, same_list, F.col(part) == F.col("_of_range")),
+        "left",
     )
     inside = Window.partitionBy(part, *by).orderBy(*order)
-    return numbered.select(
-        *df.columns, (F.row_number().over(inside) + F.col("_shift")).cast("int").alias(out)
-    )
+    position = F.row_number().over(inside) + F.coalesce("_shift", F.lit(0))
+    return shifted.select(*df.columns, position.cast("int").alias(out))
 
 
 def running_offsets(

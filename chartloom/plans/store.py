@@ -82,12 +82,13 @@ class Store:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def fact(self, commit: Commit | None = None) -> DataFrame:
-        """The fact over all loaded dates; a filter on ``ingest_date`` prunes."""
-        commit = commit or self.head()
-        base = f"{self.root}/fact"
+    def fact(self, commit: Commit, schema: str) -> DataFrame:
+        """The dated folders of a commit as one table, partitioned by ``ingest_date``."""
         paths = [commit.facts[d] for d in sorted(commit.facts)]
-        return self.spark.read.option("basePath", base).parquet(*paths).drop("v")
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/fact")
+        return reader.parquet(*paths).drop("v")
 
     def publish(self, commit: Commit) -> Commit:
         """Make a version visible; fails if somebody else took its number."""

@@ -18,7 +18,12 @@ from chartloom.operators.scope import Scope
 from chartloom.plans.warehouse import Warehouse
 from chartloom.schemas import FLAT_COLUMNS
 from chartloom.session import scratch_path
-from chartloom.sources.files import land_raw, replace_partition, write_ndjson
+from chartloom.sources.files import (
+    land_raw,
+    replace_partition,
+    scan_flat_partitioned,
+    write_ndjson,
+)
 
 # Constants of the checked queries.
 DAY = "2024-01-10"
@@ -124,7 +129,7 @@ def chart_root(spark: SparkSession, sf_dir: str) -> str:
 
 def chart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chart table, partitioned by ingest date."""
-    return spark.read.parquet(chart_root(spark, sf_dir))
+    return scan_flat_partitioned(spark, chart_root(spark, sf_dir))
 
 
 def processed_root(spark: SparkSession, sf_dir: str) -> str:

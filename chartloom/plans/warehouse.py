@@ -8,8 +8,11 @@ of the dimensions per day.  ``run_day`` is that with one day.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +46,12 @@ SCHEMAS = {
     "dim_video_open": VIDEO,
     "dim_video_closed": VIDEO,
 }
+FACT = (
+    "fact_key bigint, video_key bigint, channel_key bigint, category_key bigint,"
+    " region_key bigint, date_key int, video_id string, region_code string,"
+    " view_count bigint, like_count bigint, comment_count bigint, regional_rank int,"
+    " pulled_at timestamp, ingest_date date"
+)
 
 # The seeded regions and the calendar's span.
 SEED_REGIONS = [
@@ -79,9 +88,9 @@ class Warehouse:
         Open and closed versions are separate folders, so a daily load reads
         and rewrites open ones only and appends the ones it closes.
         """
-        commit = commit or self.store.head()
         if name == "dim_date":
             return calendar_dim(self.spark, *self.calendar)
+        commit = commit or self.store.head()
         if name in ("dim_channel", "dim_video"):
             return self._part(commit, f"{name}_open").unionByName(
                 self._part(commit, f"{name}_closed")
@@ -89,7 +98,8 @@ class Warehouse:
         return self._part(commit, name)
 
     def fact(self) -> DataFrame:
-        return self.store.fact()
+        """The fact over all loaded dates; a filter on ``ingest_date`` prunes."""
+        return self.store.fact(self.store.head(), FACT)
 
     def ledger(self) -> DataFrame:
         """The dates loaded so far."""
@@ -169,38 +179,32 @@ class Warehouse:
             high=dict(head.high),
             ledger=sorted({*head.ledger, *days}),
         )
-        self._load_type1(head, new, staged, dated)
-        channel = self._load_type2(head, new, dated, "channel", ["channel_title"])
-        video = self._load_type2(head, new, dated, "video", ["video_title", "published_at"])
-        tag = self._part(new, "dim_tag")
-
-        # The bridge needs both the versions and the tags of these days.  Versions
-        # open before the load count as links to remove, even one that a rerun of
-        # its first day has just dropped.
-        before = self._part(head, "dim_video_open").withColumn("is_current", F.lit(False))
-        last = self._last_rows(staged) if len(days) > 1 else staged
-        self._put(
-            new,
-            "bridge",
-            bridge_refresh(self._part(head, "bridge"), last, video.unionByName(before), tag),
-        )
-
-        fact = build_fact(
-            staged,
-            video,
-            channel,
-            self._part(new, "dim_category"),
-            self._part(new, "dim_region"),
-            self.table("dim_date"),
+        _, channel, video = self._together(
+            lambda: self._load_type1(head, new, staged, dated),
+            lambda: self._load_type2(head, new, dated, "channel", ["channel_title"]),
+            lambda: self._load_type2(
+                head, new, dated, "video", ["video_title", "published_at"]
+            ),
         )
-        fact_path = store.write(
-            fact.hint("rebalance", F.col("ingest_date")), "fact", version, by="ingest_date"
+        # The bridge needs both the versions and the tags of these days.
+        last = self._last_rows(staged) if len(days) > 1 else staged
+        _, fact = self._together(
+            lambda: self._load_bridge(head, new, last, video),
+            lambda: self._load_fact(new, staged, video, channel),
         )
-        new.facts.update({d: f"{fact_path}/ingest_date={d}" for d in days})
-        written = self.spark.read.parquet(fact_path)
-        checks.enforce(self._quality(new, staged, last, written, video, channel))
+        checks.enforce(self._quality(new, staged, last, fact, video, channel))
         return store.publish(new)
 
+    def _together(self, *steps: Callable[[], object]) -> list:
+        """Run steps that do not need each other at the same time.
+
+        Small tables would leave a cluster idle one after another.
+        """
+        with ThreadPoolExecutor(len(steps)) as pool:
+            # each thread gets a copy of its own of the job properties
+            running = [pool.submit(inheritable_thread_target(self.spark)(s)) for s in steps]
+            return [step.result() for step in running]
+
     @staticmethod
     def _last_rows(staged: DataFrame) -> DataFrame:
         """Each video's rows of the last staged day it was seen."""
@@ -213,7 +217,9 @@ class Warehouse:
     def _load_type1(
         self, head: Commit, new: Commit, staged: DataFrame, dated: DataFrame
     ) -> None:
-        names = dated.groupBy("category_id").agg(
+        # distinct first: hashed, while the newest text per id has to be sorted for
+        seen = dated.select("category_id", "category_name", "ingest_date").distinct()
+        names = seen.groupBy("category_id").agg(
             F.max_by("category_name", "ingest_date").alias("category_name")
         )
         self._put(
@@ -276,7 +282,7 @@ class Warehouse:
             new.version,
             by="state",
         )
-        versions = self.spark.read.parquet(path)
+        versions = self.spark.read.schema(f"{SCHEMAS[f'{name}_open']}, state string").parquet(path)
         totals = versions.agg(F.max(key), F.max("is_current"), F.min("is_current")).first()
         if totals[1]:
             new.tables[f"{name}_open"] = [f"{path}/state=open"]
@@ -287,6 +293,40 @@ class Warehouse:
         new.high[name] = max(head.high.get(name, 0), totals[0] or 0)
         return versions.drop("state")
 
+    def _load_bridge(
+        self, head: Commit, new: Commit, last: DataFrame, video: DataFrame
+    ) -> None:
+        # Versions open before the load count as links to remove, even one that a
+        # rerun of its first day has just dropped.
+        before = self._part(head, "dim_video_open").withColumn("is_current", F.lit(False))
+        self._put(
+            new,
+            "bridge",
+            bridge_refresh(
+                self._part(head, "bridge"),
+                last,
+                video.unionByName(before),
+                self._part(new, "dim_tag"),
+            ),
+        )
+
+    def _load_fact(
+        self, new: Commit, staged: DataFrame, video: DataFrame, channel: DataFrame
+    ) -> DataFrame:
+        fact = build_fact(
+            staged,
+            video,
+            channel,
+            self._part(new, "dim_category"),
+            self._part(new, "dim_region"),
+            self.table("dim_date", new),
+        )
+        path = self.store.write(
+            fact.hint("rebalance", F.col("ingest_date")), "fact", new.version, by="ingest_date"
+        )
+        new.facts.update({d: f"{path}/ingest_date={d}" for d in new.dates})
+        return self.spark.read.schema(FACT).parquet(path)
+
     # -- gates -----------------------------------------------------------
 
     def _gates(self, staged: DataFrame, dated: DataFrame) -> list[DataFrame]:

@@ -81,11 +81,20 @@ FLAT_LINE = T.StructType(
     )
 )
 
-FLAT_TYPES = {
-    "view_count": "bigint",
-    "like_count": "bigint",
-    "comment_count": "bigint",
-    "regional_rank": "int",
+FLAT_TYPES: dict[str, T.DataType] = {
+    "view_count": T.LongType(),
+    "like_count": T.LongType(),
+    "comment_count": T.LongType(),
+    "regional_rank": T.IntegerType(),
 }
 
 FLAT_COLUMNS = [field.name for field in FLAT_LINE.fields]
+
+# The chart table at rest, partitioned by its last column.
+FLAT_TABLE = T.StructType(
+    [
+        T.StructField(f.name, FLAT_TYPES.get(f.name, f.dataType))
+        for f in FLAT_LINE.fields
+    ]
+    + [T.StructField("ingest_date", T.DateType())]
+)

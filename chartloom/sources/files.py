@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartloom.schemas import CATEGORY_LOOKUP
+from chartloom.schemas import CATEGORY_LOOKUP, FLAT_TABLE
 
 
 def scan_ndjson(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
@@ -32,13 +32,15 @@ def path_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
     )
 
 
-def scan_flat_partitioned(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+def scan_flat_partitioned(
+    spark: SparkSession, root: str, fmt: str = "parquet", schema: T.StructType = FLAT_TABLE
+) -> DataFrame:
     """A chart table kept in ``ingest_date=`` folders.
 
     New folders are seen at the next call; a filter on ``ingest_date`` prunes
     folders, and only the selected columns are read.
     """
-    return spark.read.format(fmt).load(root)
+    return spark.read.schema(schema).format(fmt).load(root)
 
 
 def scan_category_lookup(
