@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 COMMIT = (
@@ -30,7 +31,8 @@ class Commit:
 
     ``tables`` maps a table to its folders, ``facts`` a date to its fact
     folder, ``high`` a dimension to its largest key, ``ledger`` is every date
-    loaded so far and ``dates`` those of this commit.
+    loaded so far and ``dates`` those of this commit.  Folders are relative to
+    the warehouse, so a copy of it stands on its own.
     """
 
     version: int = 0
@@ -62,32 +64,35 @@ class Store:
             return Commit()
         return Commit(**{name: row[name] for name in Commit.__dataclass_fields__})
 
-    def path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v={version}"
+    def at(self, folder: str) -> str:
+        return f"{self.root}/{folder}"
 
     def write(self, df: DataFrame, table: str, version: int, by: str | None = None) -> str:
         """Write a table's folder of a version that is not committed yet.
 
         Overwrites: a load that died before its commit may have left files.
         """
-        path = self.path(table, version)
+        folder = f"{table}/v={version}"
         writer = df.write.mode("overwrite")
-        (writer.partitionBy(by) if by else writer).parquet(path)
-        return path
+        (writer.partitionBy(by) if by else writer).parquet(self.at(folder))
+        return folder
+
+    def read(self, folder: str, schema: str | T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(self.at(folder))
 
     def load(self, commit: Commit, table: str, schema: str) -> DataFrame:
         """A table of a commit, empty if it has no folder yet."""
-        paths = commit.tables.get(table, [])
+        paths = [self.at(folder) for folder in commit.tables.get(table, [])]
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
     def fact(self, commit: Commit, schema: str) -> DataFrame:
         """The dated folders of a commit as one table, partitioned by ``ingest_date``."""
-        paths = [commit.facts[d] for d in sorted(commit.facts)]
+        paths = [self.at(commit.facts[d]) for d in sorted(commit.facts)]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/fact")
+        reader = self.spark.read.schema(schema).option("basePath", self.at("fact"))
         return reader.parquet(*paths).drop("v")
 
     def publish(self, commit: Commit) -> Commit:

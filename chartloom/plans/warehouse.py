@@ -156,8 +156,7 @@ class Warehouse:
         store = self.store
 
         # Everything below reads the staged days several times: write them once.
-        staged_path = store.write(staging, "staging", version)
-        staged = self.spark.read.schema(staging.schema).parquet(staged_path)
+        staged = store.read(store.write(staging, "staging", version), staging.schema)
         dated = staged.select(
             "ingest_date",
             "video_id",
@@ -264,8 +263,9 @@ class Warehouse:
             self._part(head, f"{name}_open"), dated, [natural], attrs, "ingest_date", key
         )
         # written before numbering, which reads it twice
-        moved_path = self.store.write(moved, f"{name}_unkeyed", new.version)
-        unkeyed = self.spark.read.schema(moved.schema).parquet(moved_path)
+        unkeyed = self.store.read(
+            self.store.write(moved, f"{name}_unkeyed", new.version), moved.schema
+        )
         opened = number_rows(
             unkeyed.filter(F.col(key).isNull()).drop(key),
             [natural, "valid_from"],
@@ -276,19 +276,19 @@ class Warehouse:
             opened.select(*moved.columns)
         )
         # one write, the open and the closed versions apart by folder
-        path = self.store.write(
+        folder = self.store.write(
             keyed.withColumn("state", F.when(F.col("is_current"), "open").otherwise("closed")),
             name,
             new.version,
             by="state",
         )
-        versions = self.spark.read.schema(f"{SCHEMAS[f'{name}_open']}, state string").parquet(path)
+        versions = self.store.read(folder, f"{SCHEMAS[f'{name}_open']}, state string")
         totals = versions.agg(F.max(key), F.max("is_current"), F.min("is_current")).first()
         if totals[1]:
-            new.tables[f"{name}_open"] = [f"{path}/state=open"]
+            new.tables[f"{name}_open"] = [f"{folder}/state=open"]
         if totals[2] is False:
             new.tables[f"{name}_closed"] = [
-                *head.tables.get(f"{name}_closed", []), f"{path}/state=closed"
+                *head.tables.get(f"{name}_closed", []), f"{folder}/state=closed"
             ]
         new.high[name] = max(head.high.get(name, 0), totals[0] or 0)
         return versions.drop("state")
@@ -321,11 +321,11 @@ class Warehouse:
             self._part(new, "dim_region"),
             self.table("dim_date", new),
         )
-        path = self.store.write(
+        folder = self.store.write(
             fact.hint("rebalance", F.col("ingest_date")), "fact", new.version, by="ingest_date"
         )
-        new.facts.update({d: f"{path}/ingest_date={d}" for d in new.dates})
-        return self.spark.read.schema(FACT).parquet(path)
+        new.facts.update({d: f"{folder}/ingest_date={d}" for d in new.dates})
+        return self.store.read(folder, FACT)
 
     # -- gates -----------------------------------------------------------
 

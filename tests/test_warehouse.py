@@ -1,5 +1,7 @@
 """The daily load, day after day, on a hand-written chart."""
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,12 +62,20 @@ def state(house):
     )
 
 
-@pytest.fixture
-def loaded(spark, open_house):
-    house = open_house()
+@pytest.fixture(scope="module")
+def loaded_root(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("loaded") / "house")
+    house = Warehouse(spark, root, REGIONS, SPAN)
     house.run_day(chart_of(spark, FIRST + SECOND), D1)
     house.run_day(chart_of(spark, FIRST + SECOND), D2)
-    return house
+    return root
+
+
+@pytest.fixture
+def loaded(spark, loaded_root, tmp_path):
+    """A copy of a warehouse with both days."""
+    root = shutil.copytree(loaded_root, tmp_path / "loaded")
+    return Warehouse(spark, str(root), REGIONS, SPAN)
 
 
 def test_two_days(loaded):
@@ -148,7 +158,11 @@ def test_failed_gate_publishes_nothing(spark, loaded, name, bad):
     with pytest.raises(QualityError, match=name):
         loaded.run_day(rows, D3)
     assert state(loaded) == before
-    # and the day is still free for the repaired file
+
+
+def test_day_is_still_free_after_a_failure(spark, loaded):
+    with pytest.raises(QualityError):
+        loaded.run_day(chart_of(spark, [appearance("a", "AA", D3)] * 2), D3)
     loaded.run_day(chart_of(spark, [appearance("a", "AA", D3)]), D3)
     assert loaded.store.head().newest_date() == D3
 
