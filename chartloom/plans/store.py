@@ -46,6 +46,12 @@ class Commit:
         return max(self.ledger, default=None)
 
 
+def empty_table(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows, and the optimizer knows it: joins and unions with it vanish."""
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(schema)]
+    return spark.range(1).select(*nulls).filter(F.lit(False))
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -84,14 +90,14 @@ class Store:
         """A table of a commit, empty if it has no folder yet."""
         paths = [self.at(folder) for folder in commit.tables.get(table, [])]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return empty_table(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
     def fact(self, commit: Commit, schema: str) -> DataFrame:
         """The dated folders of a commit as one table, partitioned by ``ingest_date``."""
         paths = [self.at(commit.facts[d]) for d in sorted(commit.facts)]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return empty_table(self.spark, schema)
         reader = self.spark.read.schema(schema).option("basePath", self.at("fact"))
         return reader.parquet(*paths).drop("v")
 

@@ -14,14 +14,11 @@ def batch(spark, *pairs):
     return spark.createDataFrame(list(pairs), "id string, name string")
 
 
-def fold(spark, days):
-    """Apply the days one after another."""
-    dim = spark.createDataFrame([], DIM)
-    for day, pairs in days:
-        after = scd.scd2_apply_batch(dim, batch(spark, *pairs), ["id"], ["name"], day, "k")
-        # rows instead of a growing plan
-        dim = spark.createDataFrame(after.collect(), DIM)
-    return dim
+def apply(spark, dim, day):
+    date_text, pairs = day
+    after = scd.scd2_apply_batch(dim, batch(spark, *pairs), ["id"], ["name"], date_text, "k")
+    # rows instead of a growing plan
+    return spark.createDataFrame(after.collect(), DIM)
 
 
 def history(spark, days):
@@ -37,13 +34,23 @@ DAYS = [
 ]
 
 
-def test_daily_fold_equals_one_pass(spark):
+@pytest.fixture(scope="module")
+def states(spark):
+    """The dimension after each of the days."""
+    dim, after = spark.createDataFrame([], DIM), []
+    for day in DAYS:
+        dim = apply(spark, dim, day)
+        after.append(dim)
+    return after
+
+
+def test_daily_fold_equals_one_pass(spark, states):
     one_pass = scd.scd2_from_history(history(spark, DAYS), ["id"], ["name"], "day")
-    assert as_set(fold(spark, DAYS), *PERIOD) == as_set(one_pass, *PERIOD)
+    assert as_set(states[-1], *PERIOD) == as_set(one_pass, *PERIOD)
 
 
-def test_change_and_change_back_gives_three_versions(spark):
-    versions = fold(spark, DAYS).filter("id = 'a'").orderBy("valid_from").collect()
+def test_change_and_change_back_gives_three_versions(states):
+    versions = states[-1].filter("id = 'a'").orderBy("valid_from").collect()
     assert [(r["name"], str(r.valid_from), str(r.valid_to)) for r in versions] == [
         ("A", "2024-01-01", "2024-01-02"),
         ("A2", "2024-01-02", "2024-01-03"),
@@ -51,45 +58,43 @@ def test_change_and_change_back_gives_three_versions(spark):
     ]
 
 
-def test_absent_key_keeps_its_version(spark):
-    versions = fold(spark, DAYS[:3]).filter("id = 'b'").collect()
+def test_absent_key_keeps_its_version(states):
+    versions = states[2].filter("id = 'b'").collect()
     assert [(r["name"], r.valid_to, r.is_current) for r in versions] == [("B", None, True)]
 
 
-def test_null_is_a_value(spark):
-    assert fold(spark, DAYS).filter("id = 'n'").count() == 3
+def test_null_is_a_value(states):
+    assert states[-1].filter("id = 'n'").count() == 3
 
 
-def test_keys_stay_and_never_repeat(spark):
-    early, late = fold(spark, DAYS[:2]), fold(spark, DAYS)
+def test_keys_stay_and_never_repeat(states):
     of = lambda dim: {(r.id, r.valid_from): r.k for r in dim.collect()}
-    before, after = of(early), of(late)
+    before, after = of(states[1]), of(states[-1])
     assert all(after[v] == k for v, k in before.items())
     assert len(set(after.values())) == len(after)
 
 
-def test_rerun_of_the_newest_day_changes_nothing(spark):
-    once, twice = fold(spark, DAYS), fold(spark, [*DAYS, DAYS[-1]])
-    assert as_set(once) == as_set(twice)
+def test_rerun_of_the_newest_day_changes_nothing(spark, states):
+    assert as_set(apply(spark, states[-1], DAYS[-1])) == as_set(states[-1])
 
 
 def test_correction_on_the_same_day_leaves_no_empty_version(spark):
-    dim = fold(spark, [("2024-01-01", [("a", "A")]), ("2024-01-01", [("a", "A fixed")])])
+    dim = spark.createDataFrame([], DIM)
+    for title in ("A", "A fixed"):
+        dim = apply(spark, dim, ("2024-01-01", [("a", title)]))
     assert as_set(dim, *PERIOD) == {("a", "A fixed", date("2024-01-01"), None, True)}
 
 
-def test_older_day_is_refused(spark):
+def test_older_day_is_refused(spark, states):
     with pytest.raises(scd.OutOfOrderBatch):
-        fold(spark, [*DAYS, ("2024-01-04", [("a", "late")])])
+        apply(spark, states[-1], ("2024-01-04", [("a", "late")]))
 
 
-def test_close_then_open_equals_apply(spark):
-    dim = fold(spark, DAYS[:1])
-    today = batch(spark, *DAYS[1][1])
-    args = (today, ["id"], ["name"], DAYS[1][0])
+def test_close_then_open_equals_apply(spark, states):
+    dim = states[0]
+    args = (batch(spark, *DAYS[1][1]), ["id"], ["name"], DAYS[1][0])
     steps = scd.scd2_open(scd.scd2_close(dim, *args), *args, key="k", start=keys.highest_key(dim, "k"))
-    whole = scd.scd2_apply_batch(dim, *args, "k")
-    assert as_set(steps, *PERIOD) == as_set(whole, *PERIOD)
+    assert as_set(steps, *PERIOD) == as_set(states[1], *PERIOD)
 
 
 def test_prefer_settles_two_values_on_one_day(spark):

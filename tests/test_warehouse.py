@@ -62,19 +62,25 @@ def state(house):
     )
 
 
+def keyed(house):
+    return {(r.video_id, r.valid_from): r.video_key for r in house.table("dim_video").collect()}
+
+
 @pytest.fixture(scope="module")
-def loaded_root(spark, tmp_path_factory):
+def two_days(spark, tmp_path_factory):
+    """A warehouse with both days, and its keys and facts after the first."""
     root = str(tmp_path_factory.mktemp("loaded") / "house")
-    house = Warehouse(spark, root, REGIONS, SPAN)
-    house.run_day(chart_of(spark, FIRST + SECOND), D1)
-    house.run_day(chart_of(spark, FIRST + SECOND), D2)
-    return root
+    house, rows = Warehouse(spark, root, REGIONS, SPAN), chart_of(spark, FIRST + SECOND)
+    house.run_day(rows, D1)
+    first = keyed(house), as_set(house.fact())
+    house.run_day(rows, D2)
+    return root, *first
 
 
 @pytest.fixture
-def loaded(spark, loaded_root, tmp_path):
-    """A copy of a warehouse with both days."""
-    root = shutil.copytree(loaded_root, tmp_path / "loaded")
+def loaded(spark, two_days, tmp_path):
+    """A copy of the warehouse with both days."""
+    root = shutil.copytree(two_days[0], tmp_path / "loaded")
     return Warehouse(spark, str(root), REGIONS, SPAN)
 
 
@@ -117,27 +123,28 @@ def test_rerun_with_a_corrected_title(spark, loaded):
     assert ("a", "AA", date(D2), "a fixed", 100) in facts(loaded)
 
 
-def test_keys_survive_later_loads(spark, open_house):
-    house, rows = open_house(), chart_of(spark, FIRST + SECOND)
-    house.run_day(rows, D1)
-    keyed = lambda: {(r.video_id, r.valid_from): r.video_key for r in house.table("dim_video").collect()}
-    first, day_one = keyed(), as_set(house.fact())
-    house.run_day(rows, D2)
-    assert all(keyed()[v] == k for v, k in first.items())
-    assert day_one <= as_set(house.fact())
+def test_keys_survive_later_loads(loaded, two_days):
+    _, keys, facts_of_day_one = two_days
+    later = keyed(loaded)
+    assert all(later[version] == key for version, key in keys.items())
+    assert facts_of_day_one <= as_set(loaded.fact())
 
 
-def test_late_day_is_refused_and_placed_by_a_rebuild(spark, open_house, loaded):
-    late = [appearance("a", "AA", D1, video_title="earlier")]
-    with pytest.raises(OutOfOrderBatch):
-        loaded.run_day(chart_of(spark, late), D1, reprocess=True)
-    rows = chart_of(spark, [*FIRST, *SECOND])
-    gappy = open_house("gappy")
-    gappy.run_day(rows, D2)
+def test_late_day_is_refused_and_placed_by_a_rebuild(spark, loaded):
+    early = [
+        appearance("a", "AA", "2024-02-29", video_title="earlier", video_tags=["x"]),
+    ]
+    house = Warehouse(spark, loaded.store.root, REGIONS, ("2024-02-01", "2024-03-31"))
+    rows = chart_of(spark, [*early, *FIRST, *SECOND])
+    before = state(house)
     with pytest.raises(OutOfOrderBatch):
-        gappy.run_day(rows, D1)
-    gappy.rebuild(rows)
-    assert state(gappy) == state(loaded)
+        house.run_day(rows, "2024-02-29")
+    assert state(house) == before
+    house.rebuild(rows)
+    assert as_set(house.table("dim_video").filter("video_id = 'a'"), "video_title", "valid_from") == {
+        ("earlier", date("2024-02-29")), ("title of a", date(D1)), ("a again", date(D2))
+    }
+    assert house.fact().count() == 6 and len(house.store.head().ledger) == 3
 
 
 @pytest.mark.parametrize(
@@ -160,13 +167,6 @@ def test_failed_gate_publishes_nothing(spark, loaded, name, bad):
     assert state(loaded) == before
 
 
-def test_day_is_still_free_after_a_failure(spark, loaded):
-    with pytest.raises(QualityError):
-        loaded.run_day(chart_of(spark, [appearance("a", "AA", D3)] * 2), D3)
-    loaded.run_day(chart_of(spark, [appearance("a", "AA", D3)]), D3)
-    assert loaded.store.head().newest_date() == D3
-
-
 def test_day_outside_the_calendar_is_caught(spark, loaded):
     with pytest.raises(QualityError, match="row_reconciliation"):
         loaded.run_day(chart_of(spark, [appearance("a", "AA", "2024-04-01")]), "2024-04-01")
@@ -178,12 +178,16 @@ def test_two_writers_cannot_publish_the_same_version(spark, tmp_path, loaded):
         Store(spark, loaded.store.root).publish(taken)
 
 
-def test_category_is_overwritten_tag_spelling_is_kept(spark, loaded):
+def test_day_is_free_after_a_failure_and_categories_are_overwritten(spark, loaded):
     rows = chart_of(
         spark, [appearance("a", "AA", D3, category_name="Musik", video_tags=["X", "x"], video_title="a again")]
     )
+    with pytest.raises(QualityError):
+        loaded.run_day(rows.unionAll(rows), D3)
     loaded.run_day(rows, D3)
+    assert loaded.store.head().newest_date() == D3
     assert as_set(loaded.table("dim_category"), "category_id", "category_name") == {("10", "Musik")}
+    # tags keep their spelling
     assert {("X",), ("x",)} <= as_set(loaded.table("dim_tag"), "tag_name")
 
 
