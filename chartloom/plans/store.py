@@ -25,6 +25,10 @@ COMMIT = (
 )
 
 
+class CommitConflict(RuntimeError):
+    """The version to publish is already taken."""
+
+
 @dataclass
 class Commit:
     """One published state.
@@ -58,16 +62,20 @@ class Store:
         self.root = root.rstrip("/")
 
     def head(self) -> Commit:
-        """The newest commit (one row)."""
+        """The newest commit: its number from a listing, then one record of one row."""
         try:
-            log = self.spark.read.schema(COMMIT).json(f"{self.root}/commits")
+            listing = self.spark.read.format("binaryFile").load(self.at("commits"))
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return Commit()
             raise
-        row = log.filter("version IS NOT NULL").orderBy(F.desc("version")).first()
-        if row is None:
+        if "n" not in listing.columns:
             return Commit()
+        # the files are listed, not read
+        newest = listing.agg(F.max("n")).first()[0]
+        if newest is None:
+            return Commit()
+        row = self.spark.read.schema(COMMIT).json(self.at(f"commits/n={newest}")).first()
         return Commit(**{name: row[name] for name in Commit.__dataclass_fields__})
 
     def at(self, folder: str) -> str:
@@ -106,7 +114,14 @@ class Store:
         record = self.spark.createDataFrame(
             [tuple(getattr(commit, name) for name in Commit.__dataclass_fields__)], COMMIT
         )
-        record.coalesce(1).write.mode("errorifexists").json(
-            f"{self.root}/commits/n={commit.version}"
-        )
+        folder = self.at(f"commits/n={commit.version}")
+        try:
+            record.coalesce(1).write.mode("errorifexists").json(folder)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_ALREADY_EXISTS":
+                raise CommitConflict(
+                    f"{folder} exists: another load took this version, or one died while"
+                    " publishing it. If it holds no record and no load is running, remove it."
+                ) from error
+            raise
         return commit

@@ -1,6 +1,7 @@
 """The daily load, day after day, on a hand-written chart."""
 
 import shutil
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from builders import appearance, as_set, chart_of, date
 from chartloom.operators.checks import QualityError
 from chartloom.operators.scd import OutOfOrderBatch
-from chartloom.plans.store import Store
+from chartloom.plans.store import CommitConflict, Store
 from chartloom.plans.warehouse import Warehouse
 
 REGIONS = [("AA", "Aland"), ("BB", "Bland")]
@@ -174,10 +175,25 @@ def test_day_outside_the_calendar_is_caught(spark, loaded):
 
 def test_two_writers_cannot_publish_the_same_version(spark, tmp_path, loaded):
     taken = loaded.store.head()
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(CommitConflict):
         Store(spark, loaded.store.root).publish(taken)
 
 
+def test_a_folder_without_a_record_is_no_commit(loaded, tmp_path):
+    before = loaded.store.head()
+    (tmp_path / "loaded" / "commits" / "n=3" / "_temporary").mkdir(parents=True)
+    assert loaded.store.head() == before
+    with pytest.raises(CommitConflict):
+        loaded.store.publish(replace(before, version=3))
+
+
+def test_an_empty_log_is_an_empty_warehouse(spark, tmp_path):
+    (tmp_path / "new" / "commits").mkdir(parents=True)
+    house = Warehouse(spark, str(tmp_path / "new"), REGIONS, SPAN)
+    assert house.store.head().version == 0
+    assert house.fact().count() == house.table("dim_video").count() == 0
+
+
 def test_day_is_free_after_a_failure_and_categories_are_overwritten(spark, loaded):
     rows = chart_of(
         spark, [appearance("a", "AA", D3, category_name="Musik", video_tags=["X", "x"], video_title="a again")]
