@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from chartloom.functions import changed
 from chartloom.operators.joins import without_current
 from chartloom.operators.keys import highest_key, number_rows
+from chartloom.session import materialize
 
 
 class OutOfOrderBatch(ValueError):
@@ -207,10 +208,11 @@ def scd2_apply_batch(
 
     Refuses a day older than the newest version.  Entities missing from the
     batch keep their open version; a rerun of the same day changes nothing.
+    The versions moved are written first, as numbering reads them again.
     """
     refuse_older(dim, day)
     dated = batch.withColumn("_day", F.lit(str(day)).cast("date"))
-    moved = scd2_advance(dim, dated, keys, attrs, "_day", key, prefer)
+    moved = materialize(scd2_advance(dim, dated, keys, attrs, "_day", key, prefer), "versions")
     kept = moved.filter(F.col(key).isNotNull())
     opened = number_rows(
         moved.filter(F.col(key).isNull()).drop(key),
