@@ -3,11 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from chartloom.plans.oracle import ORACLE
+from chartloom.plans.registry import QUERIES
 from compare import connect, differences
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):
@@ -16,6 +15,8 @@ def duck(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
