@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import decontamination, substrings, warc
+import public_tokenizers
+from chartloom.llm import (
+    bpe_codec,
+    decontamination,
+    fertility,
+    fuzzy_lines,
+    language_id,
+    near_dups,
+    substrings,
+    token_files,
+    transducer,
+    warc,
+)
 from chartloom.llm.common import rows_of, table
 from chartloom.session import scratch_path
 
@@ -18,6 +30,48 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(docs, items).drop("text_hash")
 
 
+def op2_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = rows_of(table(spark, sf_dir, "documents"))
+    return fertility.judge(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = rows_of(table(spark, sf_dir, "documents"))
+    return fuzzy_lines.deduplicate(docs).select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
+def op4_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = rows_of(table(spark, sf_dir, "documents"))
+    return near_dups.classes(docs).select("doc_id", "class_id")
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = rows_of(table(spark, sf_dir, "documents"))
+    counted = transducer.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.filter(~language_id.is_held_out()))
+    return language_id.identify(docs.drop("lang"), model).select(
+        "doc_id", language_id.is_held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe_codec.encode(rows_of(table(spark, sf_dir, "documents")), vocabulary)
+    return bpe_codec.decode(encoded, vocabulary).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     folder = scratch_path(spark, "warc")
@@ -38,10 +92,29 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-files")
+    docs = rows_of(table(spark, sf_dir, "documents"))
+    token_files.write_corpus(docs, folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_files.read_corpus(spark, folder).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_fertility": op2_fertility,
+    "op3_fuzzy_lines": op3_fuzzy_lines,
+    "op4_near_dups": op4_near_dups,
+    "op5_token_counts": op5_token_counts,
+    "op6_language_id": op6_language_id,
+    "op7_bpe_codec": op7_bpe_codec,
     "op8_warc": op8_warc,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_token_files": op10_token_files,
 }
 
 # Words of a text for the SQL below.
