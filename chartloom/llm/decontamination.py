@@ -112,12 +112,11 @@ def build_index(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORDS) -
 
 
 def _candidates(index: PhraseIndex) -> DataFrame:
-    """Starts proposed by the postings of each window's rarest term."""
+    """Starts proposed by the postings of each window's rarest term, and where that term is."""
     rarest = small_or_not(materialize(index.terms.filter("rank = 1").drop("rank"), "rarest"))
     return (
         index.postings.join(rarest, "term_id")
-        .select(*DOC, "window_id", (F.col("pos") - F.col("off")).alias("start"))
-        .filter(F.col("start") >= 0)
+        .select(*DOC, "window_id", (F.col("pos") - F.col("off")).alias("start"), F.col("pos").alias("at"))
         .distinct()
     )
 
@@ -127,7 +126,7 @@ def exact_matches(index: PhraseIndex) -> DataFrame:
     key = (*DOC, "term_id", "pos")
     second = index.terms.filter("rank = 2")
     sizes = small_or_not(index.windows.select("window_id", "n_terms"))
-    found = _candidates(index).join(sizes, "window_id")
+    found = _candidates(index).filter("start >= 0").drop("at").join(sizes, "window_id")
     asked = found.join(small_or_not(materialize(second, "second")), "window_id", "left").withColumn(
         "pos", F.col("start") + F.col("off")
     )
@@ -156,19 +155,22 @@ def exact_matches(index: PhraseIndex) -> DataFrame:
 
 
 def proximity_matches(index: PhraseIndex, slack: int) -> DataFrame:
-    """Candidates whose window terms all lie within ``slack`` words of their
-    place, in any order: (doc_id, text_hash, window_id, start)."""
-    near = _candidates(index).join(index.terms.select("window_id", "term_id", "off"), "window_id")
+    """Places of rarest terms around which all terms of the window occur, in any
+    order, at most the window's length and ``slack`` words away:
+    (doc_id, text_hash, window_id, at)."""
+    sizes = small_or_not(index.windows.select("window_id", "n_terms"))
+    near = _candidates(index).drop("start").join(sizes, "window_id")
+    near = near.join(index.terms.select("window_id", "term_id").distinct(), "window_id")
     lists = index.postings
-    close = F.abs(lists["pos"] - near["start"] - near["off"]) <= slack
-    need = index.terms.groupBy("window_id").agg(F.count("*").alias("need"))
+    close = F.abs(lists["pos"] - near["at"]) < near["n_terms"] + slack
+    need = index.terms.groupBy("window_id").agg(F.count_distinct("term_id").alias("need"))
     return (
         near.join(lists, same(near, lists, *DOC, "term_id") & close, "left_semi")
-        .groupBy(*DOC, "window_id", "start")
+        .groupBy(*DOC, "window_id", "at")
         .agg(F.count("*").alias("n"))
         .join(need, "window_id")
         .filter("n = need")
-        .select(*DOC, "window_id", "start")
+        .select(*DOC, "window_id", "at")
     )
 
 

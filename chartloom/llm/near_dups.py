@@ -182,34 +182,39 @@ def _verify(texts: DataFrame, threshold: float):
 
 
 def _node(doc_id: Column, text: Column) -> Column:
-    return F.coalesce(doc_id.cast("long"), F.xxhash64(F.lit("no id"), text))
+    """The id, or for a null id a number behind all usual ids that is made from the text."""
+    from_text = F.shiftrightunsigned(F.xxhash64(text), 2).bitwiseOR(F.lit(1 << 62))
+    return F.coalesce(doc_id.cast("long"), from_text)
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Per row of (doc_id, text): doc_id, node and class_id, the least node of its class."""
+    """Per row of (doc_id, text): doc_id, class_id, the least node of its class, and
+    node and th (id and text hash of the row) and first (least node with the same text)."""
     keyed = docs.select("doc_id", "text", _node(F.col("doc_id"), F.col("text")).alias("node"))
+    th = F.xxhash64("text").alias("th")
     has_words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
     copy = F.when(has_words, F.md5("text")).otherwise(F.concat(F.lit("-"), F.col("node").cast("string")))
-    rows = materialize(keyed.select("doc_id", "node", copy.alias("copy")), "documents")
+    rows = materialize(keyed.select("doc_id", "node", th, copy.alias("copy")), "documents")
     first = rows.groupBy("copy").agg(F.min("node").alias("first"))
-    members = materialize(rows.join(first, "copy").select("doc_id", "node", "first"), "members")
+    members = materialize(rows.join(first, "copy").select("doc_id", "node", "th", "first"), "members")
     signed = materialize(keyed.select("node", "text").mapInArrow(_sign, "node long, keys array<long>"), "signatures")
     reps = members.filter("node = first").select("node").distinct()
     buckets = signed.join(reps, "node", "left_semi").select(F.explode("keys").alias("key"), "node").distinct()
     labels = link_buckets(materialize(buckets, "buckets"), _verify(keyed.select("node", "text"), threshold))
     named = members.join(labels.withColumnRenamed("node", "first"), "first", "left")
-    return named.select("doc_id", "node", F.coalesce("label", "first").alias("class_id"))
+    return named.select("doc_id", F.coalesce("label", "first").alias("class_id"), "node", "th", "first")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stand for their class, one for each class, with all columns."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    stay = classes(rows).filter("node = class_id").groupBy("node").agg(F.count("*").alias("rows"))
-    stay = materialize(stay, "kept-nodes")
-    node = _node(docs[id_col], docs[text_col])
-    once = stay.filter("rows = 1").select(F.col("node").alias("_node"))
+    own = classes(rows).filter((F.col("node") == F.col("class_id")) & (F.col("node") == F.col("first")))
+    stay = materialize(own.groupBy("node", "th").agg(F.count("*").alias("rows")), "kept-rows")
+    once = stay.filter("rows = 1")
     # repeated rows of a kept document: any one of the equal rows stays
-    again = small_or_not(materialize(stay.filter("rows > 1").select(F.col("node").alias("_node")), "repeated-nodes"))
-    single = docs.join(once, node == once["_node"], "left_semi")
-    several = docs.join(again, node == again["_node"]).dropDuplicates(["_node"]).drop("_node")
-    return single.unionByName(several)
+    again = small_or_not(materialize(stay.filter("rows > 1"), "repeated-rows"))
+    node, th = _node(docs[id_col], docs[text_col]), F.xxhash64(docs[text_col])
+    single = docs.join(once, (node == once["node"]) & (th == once["th"]), "left_semi")
+    again = again.select(F.col("node").alias("_node"), F.col("th").alias("_th"))
+    several = docs.join(again, (node == again["_node"]) & (th == again["_th"])).dropDuplicates(["_node", "_th"])
+    return single.unionByName(several.drop("_node", "_th"))

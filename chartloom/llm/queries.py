@@ -38,7 +38,7 @@ def op2_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = rows_of(table(spark, sf_dir, "documents"))
     return fuzzy_lines.deduplicate(docs).select(
-        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256")
+        "row.doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256")
     )
 
 
