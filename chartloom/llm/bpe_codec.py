@@ -53,6 +53,16 @@ def word_encoder(path: str):
     return tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=read_ranks(path), special_tokens={})
 
 
+def squeeze(values: np.ndarray) -> bytes:
+    """Compressed uint32 values, byte by byte of significance."""
+    return zstandard.compress(np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 3)
+
+
+def expand(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def pack(parts: list[bytes]) -> bytes:
     sizes = np.fromiter(map(len, parts), dtype="<u4", count=len(parts))
     return zstandard.compress(len(parts).to_bytes(4, "little") + sizes.tobytes() + b"".join(parts), 1)
@@ -75,31 +85,35 @@ def list_words(texts: list[str], buckets: int):
     counts = np.diff(np.searchsorted(at, begins))
     found, example, number = np.unique(hash_spans(codes, at, ends), return_index=True, return_inverse=True)
     bucket = (found % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    joined = "\n".join([*texts, ""])
+    spelled = [joined[a:b].encode() for a, b in zip(at[example].tolist(), ends[example].tolist())]
+    # in order of spelling within a bucket, neighbours compress well
+    order = np.array(sorted(range(len(spelled)), key=lambda i: (bucket[i], spelled[i])), dtype=np.int64)
     place = np.empty(len(order), dtype="<u4")
     place[order] = np.arange(len(order))
-    joined = "\n".join([*texts, ""])
-    spans = zip(at[example[order]].tolist(), ends[example[order]].tolist())
-    words = [joined[a:b].encode() for a, b in spans]
+    words = [spelled[i] for i in order.tolist()]
     edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
     lists = [(b, words[edges[b] : edges[b + 1]]) for b in np.flatnonzero(np.diff(edges)).tolist()]
     return lists, place[number], counts
 
 
-def _list_blocks(buckets: int):
+def _list_blocks(buckets: int, positions_only: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 40
         for part, texts in text_slices(batches, chars=BLOCK_CHARS):
             lists, positions, counts = list_words(texts, buckets)
-            rows = [(POSITIONS, zstandard.compress(positions.tobytes(), 1)), *((b, pack(words)) for b, words in lists)]
-            n = len(rows) - 1
+            if positions_only:
+                rows, ids, sizes = [(POSITIONS, squeeze(positions))], [part["doc_id"].to_pylist()], [counts.tolist()]
+            else:
+                rows = [(bucket, pack(words)) for bucket, words in lists]
+                ids = sizes = [None] * len(rows)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([block] * (n + 1), pa.int64()),
-                    pa.array([b for b, _ in rows], pa.int32()),
-                    pa.array([p for _, p in rows], pa.binary()),
-                    pa.array([part["doc_id"].to_pylist(), *[None] * n], pa.list_(pa.int64())),
-                    pa.array([counts.tolist(), *[None] * n], pa.list_(pa.int32())),
+                    pa.array([block] * len(rows), pa.int64()),
+                    pa.array([bucket for bucket, _ in rows], pa.int32()),
+                    pa.array([payload for _, payload in rows], pa.binary()),
+                    pa.array(ids, pa.list_(pa.int64())),
+                    pa.array(sizes, pa.list_(pa.int32())),
                 ],
                 names=["block", "bucket", "payload", "ids", "counts"],
             )
@@ -141,8 +155,12 @@ def _encode_listings(vocabulary: str):
 def _reassemble(block: pa.Table) -> pa.Table:
     """All rows of one block: its positions and the ids of its words."""
     block = block.sort_by("bucket")
-    positions = np.frombuffer(zstandard.decompress(block["payload"][0].as_py()), dtype="<u4")
+    if block["bucket"][0].as_py() != POSITIONS:
+        raise ValueError("a block has no positions: the documents changed between two reads")
+    positions = expand(block["payload"][0].as_py())
     words = [w for data in block["payload"].to_pylist()[1:] for w in unpack(data)]
+    if len(words) != (int(positions.max()) + 1 if len(positions) else 0):
+        raise ValueError("words and positions of a block do not match: the documents changed between two reads")
     size = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) // 4
     pool = np.frombuffer(b"".join(words), dtype="<u4")
     begin = np.cumsum(size) - size
@@ -158,26 +176,24 @@ def _reassemble(block: pa.Table) -> pa.Table:
     )
 
 
-def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """Per row of (doc_id, text): doc_id and its ids as little-endian unsigned 32-bit integers."""
-    spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    listed = materialize(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_list_blocks(buckets), LISTING),
-        "word-listings",
-    )
+def encode(docs: DataFrame, vocabulary: str, written: bool = False) -> DataFrame:
+    """Per row of (doc_id, text): doc_id and its ids as little-endian unsigned 32-bit integers.
+
+    The documents are read twice, for words and for positions, which must find
+    the same rows in the same partitions.  Say ``written`` if ``docs`` only
+    selects columns of a written table; anything else is written first.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs if written else materialize(docs, "texts")
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     coded = (
-        listed.filter(F.col("bucket") != POSITIONS)
+        docs.mapInArrow(_list_blocks(buckets, False), LISTING)
         .select("block", "bucket", "payload")
         .repartition(buckets, "bucket")
         .mapInArrow(_encode_listings(vocabulary), LISTING)
     )
-    return (
-        listed.filter(F.col("bucket") == POSITIONS)
-        .unionByName(coded)
-        .groupBy("block")
-        .applyInArrow(_reassemble, "doc_id long, ids binary")
-    )
+    positions = docs.mapInArrow(_list_blocks(buckets, True), LISTING)
+    return positions.unionByName(coded).groupBy("block").applyInArrow(_reassemble, "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:

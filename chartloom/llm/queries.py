@@ -63,7 +63,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe_codec.encode(rows_of(table(spark, sf_dir, "documents")), vocabulary)
+    encoded = bpe_codec.encode(rows_of(table(spark, sf_dir, "documents")), vocabulary, written=True)
     return bpe_codec.decode(encoded, vocabulary).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
