@@ -15,52 +15,49 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import materialize
+from chartloom.llm.common import BROADCAST_ROWS, materialize, small_or_not
 
 # Rounds with single leaders go on while the open pairs outnumber the bucket
 # rows by this factor.
-OPEN_PER_ROW, MOST_ROUNDS = 2, 6
+OPEN_PER_ROW, MOST_ROUNDS = 4, 6
+ROWS_PER_TASK, LEAST_TASKS = 250_000, 4
 
 
 def _marks(edges: DataFrame) -> tuple:
     return edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, label) of all nodes of the edges (u, v); the label is the least node.
+def _written(df: DataFrame, label: str, rows: int) -> DataFrame:
+    """Write ``df`` with one task for each ROWS_PER_TASK of the rows it was made from."""
+    return materialize(df.coalesce(max(LEAST_TASKS, -(-rows // ROWS_PER_TASK))), label)
 
-    Alternates large-star and small-star steps, each an aggregation and a join,
-    and writes every step; a number of steps logarithmic in the size suffices.
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, label) of all nodes of the written links (u, v); the label is the least node.
+
+    Alternates large-star and small-star steps and writes the edges after each
+    pair of them; a number of steps logarithmic in the size suffices.  While the
+    edges are few, the least neighbours are broadcast.
     """
-    edges = materialize(
-        edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges"
-    )
+    size = links.count()
+    edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
+    edges = _written(edges, "edges", size)
     before = _marks(edges)
     while before[0]:
+        send = F.broadcast if 2 * before[0] <= BROADCAST_ROWS else lambda df: df
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.filter("u <> v").distinct(), "large-star")
+        large = both.join(send(least), "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
-        edges = materialize(
-            small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).filter("u <> v").distinct(), "small-star"
-        )
+        small = large.join(send(least), "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
+        small = small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).filter("u <> v").distinct()
+        edges = _written(small, "stars", before[0])
         after = _marks(edges)
         if after == before:
             break
         before = after
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionAll(roots)
-
-
-def _labelled(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """The rows, with their labels, of the buckets that hold more than one group."""
-    if labels is None:
-        return buckets.withColumn("label", F.col("node"))
-    named = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = named.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("z")).filter("a <> z")
-    return named.join(mixed.select("key"), "key", "left_semi")
+    return _written(edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionAll(roots), "labels", before[0])
 
 
 def link_buckets(
@@ -88,14 +85,19 @@ def link_buckets(
     labels = links = tried = None
     last = False
     for turn in range(MOST_ROUNDS + 1):
-        rows = materialize(_labelled(buckets, labels), "open-buckets")
+        rows = buckets.withColumn("label", F.col("node"))
         if turn:
+            named = buckets.join(small_or_not(labels), "node", "left")
+            rows = named.withColumn("label", F.coalesce("label", "node"))
             sizes = rows.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key")
             open_pairs = (F.pow(F.sum("n"), F.lit(2)) - F.sum(F.col("n") * F.col("n"))) / 2
-            total, n = sizes.agg(open_pairs.alias("p"), F.sum("n").alias("n")).agg(F.sum("p"), F.sum("n")).first()
+            mixed = sizes.agg(open_pairs.alias("p"), F.sum("n").alias("n")).filter("p > 0")
+            mixed = _written(mixed, "open-buckets", 1)
+            total, n = mixed.agg(F.sum("p"), F.sum("n")).first()
             if not total:
                 break
             last = turn == MOST_ROUNDS or total <= open_per_row * n
+            rows = rows.join(small_or_not(mixed.select("key")), "key", "left_semi")
         if last:
             others = rows.alias("m")
             apart = (F.col("l.key") == F.col("m.key")) & (F.col("l.node") < F.col("m.node"))
@@ -112,12 +114,12 @@ def link_buckets(
             .distinct()
         )
         if tried is not None:
-            pairs = pairs.join(tried, ["u", "v"], "left_anti")
+            pairs = pairs.join(small_or_not(tried), ["u", "v"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        found = materialize(verify(pairs).select("u", "v"), "links")
+        found = _written(verify(pairs).select("u", "v"), "links", pairs.count())
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
-        labels = materialize(components(links), "labels")
+        labels = components(links)
         if last:
             break
     return labels
