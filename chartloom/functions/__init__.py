@@ -1,11 +1,12 @@
 from chartloom.functions.measures import (
     changed,
     count_when,
-    median,
+    lower_median,
     none_if_zero,
     percent,
     rate,
     to_count,
+    with_median,
 )
 from chartloom.functions.time import iso_instant, iso_text, local_hour, whole_hours
 
@@ -15,10 +16,11 @@ __all__ = [
     "iso_instant",
     "iso_text",
     "local_hour",
-    "median",
+    "lower_median",
     "none_if_zero",
     "percent",
     "rate",
     "to_count",
     "whole_hours",
+    "with_median",
 ]

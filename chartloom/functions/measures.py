@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Sketch size of the median.  The error is at most n/100000 ranks, so groups
-# of up to that many rows are exact and a larger group's sketch stays ~2 MB.
-MEDIAN_ACCURACY = 100_000
+# Sketch size used to bracket a median, and how far from it the bracket lies.
+# A sketch is off by less than 1 / MEDIAN_SKETCH of the rows, so the bracket
+# holds the median whatever the number of rows.
+MEDIAN_SKETCH = 1000
+MEDIAN_REACH = 2 / MEDIAN_SKETCH
 
 
 def rate(part: Column, whole: Column) -> Column:
@@ -21,9 +23,52 @@ def percent(part: Column, whole: Column, digits: int) -> Column:
     return F.round(rate(part, whole), digits)
 
 
-def median(value: Column | str) -> Column:
-    """Lower median: an element of the group, never an interpolation."""
-    return F.percentile_approx(value, 0.5, MEDIAN_ACCURACY)
+def lower_median(rows: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
+    """Per group the exact lower median of a column: an element, never interpolated.
+
+    Sketches bracket it first.  Then the values below the bracket are only
+    counted, and running totals over the distinct values inside it, a small
+    share of the group, find the element.  NULLs do not count; a group without
+    a value has no row.
+    """
+    present = rows.select(*by, F.col(value).alias("_value")).filter("_value is not null")
+    if not by:
+        # one key for all rows, so that the bracket joins by hash
+        return lower_median(
+            present.withColumn("_all", F.when(F.col("_value").isNotNull(), 0)), ["_all"], "_value", name
+        ).select(name)
+    ends = present.groupBy(*by).agg(
+        F.count("*").alias("_n"),
+        F.percentile_approx("_value", 0.5 - MEDIAN_REACH, MEDIAN_SKETCH).alias("_low"),
+        F.percentile_approx("_value", 0.5 + MEDIAN_REACH, MEDIAN_SKETCH).alias("_high"),
+    )
+    right = ends.select(*(F.col(c).alias(f"_by_{c}") for c in by), "_n", "_low", "_high")
+    match = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by))
+    # a row below its bracket is counted under NULL
+    held = F.when(F.col("_value") >= F.col("_low"), F.col("_value"))
+    counts = (
+        present.join(right, match)
+        .filter("_value <= _high")
+        .groupBy(*by, held.alias("_held"))
+        .agg(F.count("*").alias("_times"), F.first("_n").alias("_n"))
+    )
+    so_far = F.sum("_times").over(
+        Window.partitionBy(*by)
+        .orderBy(F.asc_nulls_first("_held"))
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    passed = counts.select(*by, "_held", (2 * so_far >= F.col("_n")).alias("_passed"))
+    return passed.filter("_passed").groupBy(*by).agg(F.min("_held").alias(name))
+
+
+def with_median(figures: DataFrame, medians: DataFrame, by: list[str], name: str) -> DataFrame:
+    """Add the median of :func:`lower_median` to one row per group."""
+    if not by:
+        both = figures.unionByName(medians, allowMissingColumns=True)
+        return both.agg(*[F.max(c).alias(c) for c in (*figures.columns, name)])
+    other = medians.select(*(F.col(c).alias(f"_by_{c}") for c in by), name)
+    match = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by))
+    return figures.join(other, match, "left").select(*figures.columns, name)
 
 
 def none_if_zero(value: Column) -> Column:

@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.functions import count_when, iso_instant, local_hour, median, percent, whole_hours
+from chartloom.functions import (
+    count_when,
+    iso_instant,
+    local_hour,
+    lower_median,
+    percent,
+    whole_hours,
+    with_median,
+)
 from chartloom.operators.scope import Scope, scope_filter
 from chartloom.operators.topk import share_of, top_k
 from chartloom.schemas import CHART, ChartColumns
@@ -59,16 +67,20 @@ def hours_to_trend(
     Categories with fewer than ``min_rows`` rows are left out.
     """
     hours = whole_hours(iso_instant(cols.published_at), iso_instant(cols.pulled_at))
-    return (
-        scope_filter(df, scope, cols)
-        .select(cols.category, hours.alias("hours"))
-        .groupBy(cols.category)
+    rows = scope_filter(df, scope, cols).select(cols.category, hours.alias("hours"))
+    figures = (
+        rows.groupBy(cols.category)
         .agg(
             F.count(F.lit(1)).alias("videos"),
             F.round(F.avg("hours"), digits).alias("avg_hours"),
-            F.round(median(F.col("hours").cast("double")), digits).alias("median_hours"),
         )
         .filter(F.col("videos") >= min_rows)
+    )
+    medians = lower_median(rows, [cols.category], "hours", "median_hours")
+    rounded = F.round(F.col("median_hours").cast("double"), digits)
+    return (
+        with_median(figures, medians, [cols.category], "median_hours")
+        .withColumn("median_hours", rounded)
         .orderBy("avg_hours", cols.category)
     )
 

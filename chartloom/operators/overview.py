@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chartloom.functions import median, none_if_zero
+from chartloom.functions import lower_median, none_if_zero, with_median
 from chartloom.operators.joins import region_counts
 from chartloom.operators.scope import Scope, scope_filter
 from chartloom.schemas import CHART, ChartColumns
@@ -16,19 +16,19 @@ _FIGURES = ["row_count", "unique_videos", "channels", "total_views", "median_vie
 
 
 def _figures(rows: DataFrame, by: list[str], cols: ChartColumns) -> DataFrame:
-    # Apart, because a distinct count groups by entity first and would then
-    # keep one median sketch per entity.  Each part reads its own columns.
-    plain = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.sum(cols.views).alias("total_views"),
-        median(cols.views).alias("median_views"),
+    # one row per entity and channel first: both distinct counts and the sums
+    # come from it without doubling the rows
+    pairs = rows.groupBy(*by, cols.entity, cols.channel_id).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(cols.views).alias("views")
     )
-    distinct = rows.groupBy(*by).agg(
+    figures = pairs.groupBy(*by).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
         F.count_distinct(cols.entity).alias("unique_videos"),
         F.count_distinct(cols.channel_id).alias("channels"),
+        F.sum("views").alias("total_views"),
     )
-    both = plain.unionByName(distinct, allowMissingColumns=True)
-    return both.groupBy(*by).agg(*[F.max(f).alias(f) for f in _FIGURES])
+    medians = lower_median(rows, by, cols.views, "median_views")
+    return with_median(figures, medians, by, "median_views").select(*by, *_FIGURES)
 
 
 def overview(df: DataFrame, scope: Scope = Scope(), cols: ChartColumns = CHART) -> DataFrame:
@@ -54,12 +54,19 @@ def overview_delta(
     NULL where there is none or it is zero.  With a date in the scope only that
     day and its predecessor are read.
     """
-    rows = scope_filter(df, scope.all_days(), cols)
+    collected = df
     if scope.date is not None:
         # the predecessor is looked up over all regions, as dates are collected whole
         wanted = [d for d in (previous_date(df, str(scope.date), cols), scope.date) if d]
-        rows = rows.filter(F.col(cols.date).isin(*[F.lit(str(d)).cast("date") for d in wanted]))
-    daily = _figures(rows, [cols.date], cols)
+        collected = df.filter(F.col(cols.date).isin(*[F.lit(str(d)).cast("date") for d in wanted]))
+    daily = _figures(scope_filter(collected, scope.all_days(), cols), [cols.date], cols)
+    # a day on which the chosen regions have no rows counts with zeros
+    days = collected.select(F.col(cols.date).alias("_day")).distinct()
+    daily = days.join(daily, F.col("_day") == F.col(cols.date), "left").select(
+        F.col("_day").alias(cols.date),
+        *[F.coalesce(f, F.lit(0)).alias(f) for f in _FIGURES if f != "median_views"],
+        "median_views",
+    )
     # one row per collected day
     in_order = Window.orderBy(cols.date)
     out = daily.select(
@@ -101,12 +108,9 @@ def spread(df: DataFrame, scope: Scope, cols: ChartColumns = CHART) -> DataFrame
 
 def chart_size(df: DataFrame, scope: Scope = Scope(), cols: ChartColumns = CHART) -> DataFrame:
     """Per region: rows, total views, median views."""
-    return (
-        scope_filter(df, scope, cols)
-        .groupBy(cols.region)
-        .agg(
-            F.count(F.lit(1)).alias("videos"),
-            F.sum(cols.views).alias("total_views"),
-            median(cols.views).alias("median_views"),
-        )
+    rows = scope_filter(df, scope, cols)
+    figures = rows.groupBy(cols.region).agg(
+        F.count(F.lit(1)).alias("videos"), F.sum(cols.views).alias("total_views")
     )
+    medians = lower_median(rows, [cols.region], cols.views, "median_views")
+    return with_median(figures, medians, [cols.region], "median_views")

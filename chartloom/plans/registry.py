@@ -91,7 +91,7 @@ def _(spark, sf_dir):
 @query("path_columns")
 def _(spark, sf_dir):
     raw = spark.read.schema(RAW_VIDEO).json(
-        f"{tb.landing_root(spark, sf_dir)}/raw", recursiveFileLookup=True
+        f"{tb.landing_root(spark, sf_dir)}/raw", recursiveFileLookup=True, mode="FAILFAST"
     )
     return files.path_columns(raw, {"region": "string", "ingest_date": "date"}).select(
         "id", "region", "ingest_date"

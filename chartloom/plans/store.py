@@ -6,13 +6,21 @@ follow the newest record: they see all of a load or nothing of it.  The record
 also lists the dates loaded, so a date is claimed exactly when its data is
 published.  One writer at a time; a second one fails on the commit record.
 
-    <root>/<table>/v=<n>/...     data, never changed after the commit
-    <root>/commits/n=<n>/        the commit record, one JSON line
+    <root>/<table>/v=<n>-<attempt>/...   data, never written twice
+    <root>/commits/n=<n>/record.json     the commit record, one JSON line
+
+Every attempt writes folders of its own, so one that loses or dies leaves those
+of others alone.  The record is created in one step that fails if it is there.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+import os
+import uuid
+from dataclasses import asdict, dataclass, field
+
+from py4j.protocol import Py4JJavaError
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,7 +83,10 @@ class Store:
         newest = listing.agg(F.max("n")).first()[0]
         if newest is None:
             return Commit()
-        row = self.spark.read.schema(COMMIT).json(self.at(f"commits/n={newest}")).first()
+        records = self.spark.read.schema(COMMIT).json(self.at(f"commits/n={newest}")).take(2)
+        if len(records) != 1:
+            raise CommitConflict(f"commit {newest} has {len(records)} records or more, not one")
+        row = records[0]
         return Commit(**{name: row[name] for name in Commit.__dataclass_fields__})
 
     def at(self, folder: str) -> str:
@@ -84,10 +95,10 @@ class Store:
     def write(self, df: DataFrame, table: str, version: int, by: str | None = None) -> str:
         """Write a table's folder of a version that is not committed yet.
 
-        Overwrites: a load that died before its commit may have left files.
+        No two writes share a folder, whoever makes them.
         """
-        folder = f"{table}/v={version}"
-        writer = df.write.mode("overwrite")
+        folder = f"{table}/v={version}-{uuid.uuid4().hex[:12]}"
+        writer = df.write.mode("errorifexists")
         (writer.partitionBy(by) if by else writer).parquet(self.at(folder))
         return folder
 
@@ -111,17 +122,46 @@ class Store:
 
     def publish(self, commit: Commit) -> Commit:
         """Make a version visible; fails if somebody else took its number."""
-        record = self.spark.createDataFrame(
-            [tuple(getattr(commit, name) for name in Commit.__dataclass_fields__)], COMMIT
-        )
-        folder = self.at(f"commits/n={commit.version}")
+        path = self.at(f"commits/n={commit.version}/record.json")
+        if not self._create_once(path, json.dumps(asdict(commit)) + "\n"):
+            raise CommitConflict(f"{path} exists: another load took this version")
+        return commit
+
+    def _create_once(self, path: str, text: str) -> bool:
+        """Create a file with all its text, or return False if it is there.
+
+        The text goes to a hidden file first.  A local file system then links
+        it, any other renames it without overwriting; both are one step.
+        """
+        jvm = self.spark._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        conf = self.spark._jsc.hadoopConfiguration()
+        fs = target.getFileSystem(conf)
+        if fs.getScheme() == "file":
+            name = target.toUri().getPath()
+            os.makedirs(os.path.dirname(name), exist_ok=True)
+            hidden = os.path.join(os.path.dirname(name), f".{uuid.uuid4().hex}")
+            with open(hidden, "x", encoding="utf-8") as file:
+                file.write(text)
+            try:
+                os.link(hidden, name)
+            except FileExistsError:
+                return False
+            finally:
+                os.unlink(hidden)
+            return True
+        hidden = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{uuid.uuid4().hex}")
+        out = fs.create(hidden, False)
+        out.write(text.encode())
+        out.close()
+        rename = jvm.org.apache.hadoop.fs.Options.Rename
+        options = self.spark._sc._gateway.new_array(rename, 1)
+        options[0] = rename.NONE
         try:
-            record.coalesce(1).write.mode("errorifexists").json(folder)
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_ALREADY_EXISTS":
-                raise CommitConflict(
-                    f"{folder} exists: another load took this version, or one died while"
-                    " publishing it. If it holds no record and no load is running, remove it."
-                ) from error
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(hidden, target, options)
+        except Py4JJavaError as error:
+            fs.delete(hidden, False)
+            if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+                return False
             raise
-        return commit
+        return True

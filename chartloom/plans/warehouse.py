@@ -65,6 +65,10 @@ SEED_REGIONS = [
 CALENDAR = ("2026-01-01", "2030-12-31")
 
 
+class EmptyBatch(ValueError):
+    """A day to load has no staged rows; it stays unclaimed."""
+
+
 class Warehouse:
     """The star schema kept in a ``Store``."""
 
@@ -149,6 +153,8 @@ class Warehouse:
         return self._load(Commit(version=self.store.head().version), staging, days)
 
     def _load(self, head: Commit, staging: DataFrame, days: list[str]) -> Commit:
+        if not days:
+            raise EmptyBatch("no staged days to load")
         newest = head.newest_date()
         if newest is not None and days[0] < newest:
             raise OutOfOrderBatch(f"{days[0]} is older than the loaded {newest}: rebuild")
@@ -157,6 +163,10 @@ class Warehouse:
 
         # Everything below reads the staged days several times: write them once.
         staged = store.read(store.write(staging, "staging", version), staging.schema)
+        # one row per day
+        present = {str(r[0]) for r in staged.select("ingest_date").distinct().collect()}
+        if absent := [day for day in days if day not in present]:
+            raise EmptyBatch(f"no staged rows on {', '.join(absent)}")
         dated = staged.select(
             "ingest_date",
             "video_id",

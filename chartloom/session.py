@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,17 +61,15 @@ _scratch_roots: dict[str, str] = {}
 def scratch_root(spark: SparkSession) -> str:
     """Folder for this application's written intermediates.
 
-    It lies under ``spark.checkpoint.dir``, which every executor can reach, so
-    a lost executor costs a re-read and nothing else.  Only a local master may
-    run without that setting; then a temporary folder is taken.
+    It lies under ``spark.checkpoint.dir`` or, where that is unset, under the
+    warehouse folder.  Every executor can reach both, so a lost executor costs
+    a re-read and nothing else.
     """
     app = spark.sparkContext.applicationId
     if app not in _scratch_roots:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if not shared:
-            if not spark.sparkContext.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            shared = tempfile.mkdtemp(prefix="chartloom-")
+            shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
         _scratch_roots[app] = f"{shared.rstrip('/')}/chartloom-{app}-{uuid.uuid4().hex[:8]}"
     return _scratch_roots[app]
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from builders import appearance, as_set, chart_of, date
+from chartloom.functions import lower_median
 from chartloom.operators import (
     engagement,
     history,
@@ -294,3 +295,32 @@ def test_concentration_against_brute_force(rows, python_rows):
     found = one(engagement.concentration(rows))
     assert found["all_rows"] == sum(held.values())
     assert found["top10_rows"] == sum(n for _, n in held.most_common(10))
+
+
+@pytest.mark.parametrize("n", [1, 2, 90_000, 1_000_000, 5_000_000])
+def test_the_median_is_an_exact_element_at_any_size(spark, n):
+    # a permutation of 0 .. n - 1 in group a, ties and NULLs in group NULL
+    rows = spark.range(n).select(
+        F.lit("a").alias("g"), ((F.col("id") * 7_368_787 + 5) % n).alias("x")
+    )
+    ties = spark.range(5).select(F.lit(None).cast("string").alias("g"), F.expr("if(id < 2, null, 4)").alias("x"))
+    got = {r.g: r.m for r in lower_median(rows.unionByName(ties), ["g"], "x", "m").collect()}
+    assert got == {"a": (n - 1) // 2, None: 4}
+    assert lower_median(rows, [], "x", "m").first().m == (n - 1) // 2
+
+
+def test_change_counts_from_zero_after_a_day_without_the_region(spark):
+    rows = chart_of(
+        spark,
+        [appearance(f"a{i}", "AA", "2024-03-01") for i in range(3)]
+        + [appearance("b", "BB", "2024-03-02")]
+        + [appearance(f"c{i}", "AA", "2024-03-03") for i in range(5)],
+    )
+    every = overview.overview_delta(rows, Scope(regions=("AA",)))
+    assert [(str(r.ingest_date), r.row_count, r.row_count_delta) for r in every.orderBy("ingest_date").collect()] == [
+        ("2024-03-01", 3, None),
+        ("2024-03-02", 0, -3),
+        ("2024-03-03", 5, 5),
+    ]
+    one = overview.overview_delta(rows, Scope("2024-03-03", ("AA",))).collect()
+    assert [(r.row_count, r.row_count_delta) for r in one] == [(5, 5)]

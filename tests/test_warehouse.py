@@ -1,6 +1,7 @@
 """The daily load, day after day, on a hand-written chart."""
 
 import shutil
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 import pytest
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 from builders import appearance, as_set, chart_of, date
 from chartloom.operators.checks import QualityError
 from chartloom.operators.scd import OutOfOrderBatch
-from chartloom.plans.store import CommitConflict, Store
-from chartloom.plans.warehouse import Warehouse
+from chartloom.plans.store import Commit, CommitConflict, Store
+from chartloom.plans.warehouse import EmptyBatch, Warehouse
 
 REGIONS = [("AA", "Aland"), ("BB", "Bland")]
 SPAN = ("2024-03-01", "2024-03-31")
@@ -183,8 +184,42 @@ def test_a_folder_without_a_record_is_no_commit(loaded, tmp_path):
     before = loaded.store.head()
     (tmp_path / "loaded" / "commits" / "n=3" / "_temporary").mkdir(parents=True)
     assert loaded.store.head() == before
+    loaded.store.publish(replace(before, version=3))
+    assert loaded.store.head().version == 3
+
+
+def test_simultaneous_publishes_leave_one_record(spark, tmp_path):
+    for turn in range(20):
+        store = Store(spark, str(tmp_path / f"race{turn}"))
+        with ThreadPoolExecutor(2) as pool:
+            runs = [pool.submit(store.publish, Commit(version=1, dates=[d])) for d in ("a", "b")]
+        errors = [run.exception() for run in runs]
+        assert sorted(type(e) for e in errors if e) == [CommitConflict]
+        won = next(d for d, e in zip(("a", "b"), errors) if not e)
+        assert store.head().dates == [won]
+
+
+def test_a_losing_load_leaves_the_winner_alone(spark, tmp_path, loaded):
+    head = loaded.store.head()
+    day = chart_of(spark, [appearance("w", "AA", "2024-03-04")])
+    other = chart_of(spark, [appearance("x", "AA", "2024-03-04"), appearance("y", "BB", "2024-03-04")])
+    loaded._load(head, day, ["2024-03-04"])
+    names = ["dim_video", "dim_channel", "dim_category", "dim_tag", "bridge"]
+    before = [sorted(loaded.table(n).collect(), key=str) for n in names]
+    fact = sorted(loaded.fact().collect(), key=str)
     with pytest.raises(CommitConflict):
-        loaded.store.publish(replace(before, version=3))
+        loaded._load(head, other, ["2024-03-04"])
+    assert [sorted(loaded.table(n).collect(), key=str) for n in names] == before
+    assert sorted(loaded.fact().collect(), key=str) == fact
+
+
+def test_a_day_without_rows_is_refused(spark, loaded):
+    before = loaded.store.head()
+    with pytest.raises(EmptyBatch):
+        loaded.run_day(chart_of(spark, [appearance("a", "AA", "2024-03-04")]), "2024-03-05")
+    with pytest.raises(EmptyBatch):
+        loaded.rebuild(chart_of(spark, [appearance("a", "AA", "2024-03-04")]).limit(0))
+    assert loaded.store.head() == before and loaded.fact().count() > 0
 
 
 def test_an_empty_log_is_an_empty_warehouse(spark, tmp_path):
