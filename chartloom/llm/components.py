@@ -1,7 +1,7 @@
 """Connected groups of candidates, without listing the pairs of a group.
 
 ``link_buckets`` takes buckets of nodes that may be linked.  It first compares
-every node with one leader of its bucket only.  Nodes that are connected by then
+every node with the leader of one of its buckets only.  Nodes that are connected by then
 need no further comparison, which settles large groups of near copies.  As long
 as much is open, it goes on with other leaders; at last it compares every pair
 of a bucket that is still in different groups.  So no link that joins two groups
@@ -107,12 +107,10 @@ def link_buckets(
             others = rows.groupBy("key").agg(leader.alias("m")).select("key", "m.*").alias("m")
             apart = F.col("l.key") == F.col("m.key")
         apart = apart & (F.col("l.label") != F.col("m.label")) & meets("l.", "m.")
-        pairs = (
-            rows.alias("l")
-            .join(others, apart)
-            .select(F.least("l.node", "m.node").alias("u"), F.greatest("l.node", "m.node").alias("v"))
-            .distinct()
-        )
+        met = rows.alias("l").join(others, apart).select(F.col("l.node").alias("node"), F.col("m.node").alias("other"))
+        # a node meets one leader a turn, however many buckets it is in
+        met = met.distinct() if last else met.groupBy("node").agg(F.min("other").alias("other"))
+        pairs = met.select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).distinct()
         if tried is not None:
             pairs = pairs.join(small_or_not(tried), ["u", "v"], "left_anti")
         pairs = materialize(pairs, "pairs")
