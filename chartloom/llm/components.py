@@ -19,7 +19,7 @@ from chartloom.llm.common import BROADCAST_ROWS, materialize, small_or_not
 
 # Rounds with single leaders go on while the open pairs outnumber the bucket
 # rows by this factor.
-OPEN_PER_ROW, MOST_ROUNDS = 4, 6
+OPEN_PER_ROW, MOST_ROUNDS = 0.25, 6
 ROWS_PER_TASK, LEAST_TASKS = 250_000, 4
 
 
@@ -65,7 +65,7 @@ def link_buckets(
     verify: Callable[[DataFrame], DataFrame],
     carried: DataFrame | None = None,
     near: Callable[[str, str], Column] | None = None,
-    open_per_row: int = OPEN_PER_ROW,
+    open_per_row: float = OPEN_PER_ROW,
 ) -> DataFrame:
     """(node, label) of all linked nodes.
 
