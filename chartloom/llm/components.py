@@ -1,11 +1,13 @@
 """Connected groups of candidates, without listing the pairs of a group.
 
 ``link_buckets`` takes buckets of nodes that may be linked.  It first compares
-every node with the leader of one of its buckets only.  Nodes that are connected by then
-need no further comparison, which settles large groups of near copies.  As long
-as much is open, it goes on with other leaders; at last it compares every pair
-of a bucket that is still in different groups.  So no link that joins two groups
-is missed, however large a bucket is.
+every node with the leader of one of its buckets only; if asked for, leaders are
+the nodes that share most buckets with others, such as the text that the others
+of a group were made from.  Nodes that are connected by then need no further
+comparison, which settles large groups of near copies.  As long as much is open,
+it goes on with other leaders; at last it compares every pair of a bucket that
+is still in different groups.  So no link that joins two groups is missed,
+however large a bucket is.
 """
 
 from __future__ import annotations
@@ -66,6 +68,9 @@ def link_buckets(
     carried: DataFrame | None = None,
     near: Callable[[str, str], Column] | None = None,
     open_per_row: float = OPEN_PER_ROW,
+    central: bool = False,
+    sketch: Callable[[DataFrame], DataFrame] | None = None,
+    alike: Callable[[str, str], Column] | None = None,
 ) -> DataFrame:
     """(node, label) of all linked nodes.
 
@@ -73,14 +78,21 @@ def link_buckets(
     with u < v and returns those that are links.  ``carried`` has further
     columns of each node; ``near``, given the prefixes of both sides, is a
     condition on them that every link meets and that is cheap enough to be
-    tested inside the joins.
+    tested inside the joins.  ``central`` leads with the nodes that share most
+    buckets.  ``sketch`` gives further columns of nodes (a column ``node``) for
+    the comparison of all open pairs, and ``alike`` is a condition on them.
     """
-    shared = buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    buckets = buckets.join(shared, "key", "left_semi")
+    shared = buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    if central:
+        buckets = materialize(buckets.join(shared, "key"), "shared-keys")
+        degrees = buckets.groupBy("node").agg((-F.sum("n")).alias("rank"))
+        buckets = buckets.drop("n").join(degrees, "node")
+    else:
+        buckets = buckets.join(shared.drop("n"), "key", "left_semi").withColumn("rank", F.lit(0).cast("long"))
     extra = [c for c in carried.columns if c != "node"] if carried is not None else []
     if carried is not None:
         buckets = materialize(buckets, "shared-buckets").join(carried, "node")
-    buckets = materialize(buckets.select("key", "node", *extra), "shared-buckets")
+    buckets = materialize(buckets.select("key", "node", "rank", *extra), "shared-buckets")
     meets = near or (lambda one, other: F.lit(True))
     labels = links = tried = None
     last = False
@@ -98,18 +110,26 @@ def link_buckets(
                 break
             last = turn == MOST_ROUNDS or total <= open_per_row * n
             rows = rows.join(small_or_not(mixed.select("key")), "key", "left_semi")
+        order = F.struct("rank", "node") if not turn else F.struct(F.lit(0).cast("long"), F.xxhash64("node", F.lit(turn)))
         if last:
+            if sketch is not None:
+                rows = rows.join(materialize(sketch(rows.select("node").distinct()), "sketches"), "node")
             others = rows.alias("m")
             apart = (F.col("l.key") == F.col("m.key")) & (F.col("l.node") < F.col("m.node"))
+            if alike is not None:
+                apart = apart & alike("l.", "m.")
         else:
-            order = F.col("node") if not turn else F.xxhash64("node", F.lit(turn))
             leader = F.min(F.struct(order.alias("order"), "node", "label", *extra))
             others = rows.groupBy("key").agg(leader.alias("m")).select("key", "m.*").alias("m")
             apart = F.col("l.key") == F.col("m.key")
         apart = apart & (F.col("l.label") != F.col("m.label")) & meets("l.", "m.")
-        met = rows.alias("l").join(others, apart).select(F.col("l.node").alias("node"), F.col("m.node").alias("other"))
-        # a node meets one leader a turn, however many buckets it is in
-        met = met.distinct() if last else met.groupBy("node").agg(F.min("other").alias("other"))
+        met = rows.alias("l").join(others, apart)
+        if last:
+            met = met.select(F.col("l.node").alias("node"), F.col("m.node").alias("other")).distinct()
+        else:
+            # a node meets one leader a turn, however many buckets it is in
+            met = met.groupBy(F.col("l.node").alias("node")).agg(F.min(F.struct("m.order", "m.node")).alias("first"))
+            met = met.select("node", F.col("first.node").alias("other"))
         pairs = met.select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).distinct()
         if tried is not None:
             pairs = pairs.join(small_or_not(tried), ["u", "v"], "left_anti")

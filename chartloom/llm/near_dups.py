@@ -11,7 +11,11 @@ taken by an earlier one.
 
 Bands of registers propose candidates, :mod:`chartloom.llm.components` links
 them without pairing whole groups, and each link is verified on the full texts:
-probability Jaccard of at least ``threshold`` over all shingles.  Exact copies
+probability Jaccard of at least ``threshold`` over all shingles.  Leaders of
+buckets are the texts that share most buckets.  Texts that are still in different
+groups after that get a second, larger set of registers, of which two bits each
+are kept; pairs whose sketches tell that they are far below the threshold (a
+pair at it fails with a probability of 0.0001) are not verified.  Exact copies
 are collapsed beforehand and share the class of the text.
 
 Words are runs of characters other than blanks, unchanged.  Texts of one to four
@@ -23,6 +27,7 @@ its text.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +42,11 @@ WORDS, THRESHOLD = 5, 0.8
 # A pair at the threshold shares a band with probability 1 - (1 - 0.8 ** 6) ** 24 = 0.999.
 BANDS, ROWS = 24, 6
 REGISTERS = BANDS * ROWS
+# Registers of a sketch, the bits kept of each, and the standard deviations of an
+# estimate that a pair may lie below the threshold.
+SKETCHED, SKETCH_BITS, DEVIATIONS = 1024, 2, 3.7
+# Open pairs for each row of a bucket that sketches may sort out at once.
+OPEN_PER_ROW = 100
 PAIRS_PER_SALT = 200
 DRAWS = 1 << 16
 
@@ -64,18 +74,18 @@ def shingles(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.ndarr
     return text[edges], value[edges], np.diff(np.append(edges, len(text)))
 
 
-def _draw(element: np.ndarray, point: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _draw(element: np.ndarray, point: np.ndarray, registers: int) -> tuple[np.ndarray, np.ndarray]:
     """Waiting time at unit rate, and register, of a numbered point of each element."""
     random = mix(element + (point.astype(np.uint64) + np.uint64(1)) * BASE)
     wait = -np.log(((random >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53)
-    return wait, (mix(random ^ BASE) % np.uint64(REGISTERS)).astype(np.int64)
+    return wait, (mix(random ^ BASE) % np.uint64(registers)).astype(np.int64)
 
 
-def signatures(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def signatures(texts: list[str], registers: int = REGISTERS) -> tuple[np.ndarray, np.ndarray]:
     """Registers of each text, and whether it has any shingle."""
     text, value, times = shingles(texts)
-    earliest = np.full(len(texts) * REGISTERS, np.inf)
-    holder = np.zeros(len(texts) * REGISTERS, dtype=np.uint64)
+    earliest = np.full(len(texts) * registers, np.inf)
+    holder = np.zeros(len(texts) * registers, dtype=np.uint64)
     now = np.zeros(len(text))
     point = np.zeros(len(text), dtype=np.int64)
     active = np.arange(len(text))
@@ -83,21 +93,21 @@ def signatures(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # a few points at once where few shingles are left
         ahead = int(min(256, max(1, DRAWS // len(active))))
         number = point[active][:, None] + np.arange(ahead)
-        wait, register = _draw(np.repeat(value[active], ahead), number.ravel())
+        wait, register = _draw(np.repeat(value[active], ahead), number.ravel(), registers)
         rate = np.repeat(times[active], ahead)
         came = (np.repeat(now[active], ahead).reshape(-1, ahead) + np.cumsum((wait / rate).reshape(-1, ahead), axis=1)).ravel()
-        cell = np.repeat(text[active], ahead) * REGISTERS + register
+        cell = np.repeat(text[active], ahead) * registers + register
         early = np.flatnonzero(came <= earliest[cell])
         np.minimum.at(earliest, cell[early], came[early])
         won = early[came[early] == earliest[cell[early]]]
         holder[cell[won]] = np.repeat(value[active], ahead)[won]
         now[active] = came.reshape(-1, ahead)[:, -1]
         point[active] += ahead
-        latest = earliest.reshape(-1, REGISTERS).max(axis=1)
+        latest = earliest.reshape(-1, registers).max(axis=1)
         active = active[now[active] < latest[text[active]]]
     some = np.zeros(len(texts), dtype=bool)
     some[text] = True
-    return holder.reshape(-1, REGISTERS), some
+    return holder.reshape(-1, registers), some
 
 
 def band_keys(registers: np.ndarray) -> np.ndarray:
@@ -119,6 +129,44 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def sketches(holder: np.ndarray) -> np.ndarray:
+    """The lowest bits of the registers, plane by plane, as 64-bit values."""
+    planes = [np.packbits(((holder >> np.uint64(b)) & np.uint64(1)).astype(np.uint8), axis=1) for b in range(SKETCH_BITS)]
+    return np.ascontiguousarray(np.hstack(planes)).view(np.int64)
+
+
+def _sketch(texts: DataFrame):
+    """The sketches of some nodes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, some in text_slices(batches):
+            rows = sketches(signatures(some, SKETCHED)[0])
+            yield pa.RecordBatch.from_arrays([part["node"], pa.array(list(rows), pa.list_(pa.int64()))], names=["node", "sketch"])
+
+    def sketch(nodes: DataFrame) -> DataFrame:
+        wanted = small_or_not(materialize(nodes, "open-nodes"))
+        found = texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
+        return found.mapInArrow(run, "node long, sketch array<long>")
+
+    return sketch
+
+
+def _alike(threshold: float):
+    """Whether two sketches agree in about as many registers as a pair at the threshold."""
+    longs = SKETCHED // 64
+    agree = threshold + (1 - threshold) / (1 << SKETCH_BITS)
+    most = int(SKETCHED * (1 - agree) + DEVIATIONS * (SKETCHED * agree * (1 - agree)) ** 0.5)
+
+    def alike(one: str, other: str) -> Column:
+        def differ(k: int) -> Column:
+            return F.get(one + "sketch", F.lit(k)).bitwiseXOR(F.get(other + "sketch", F.lit(k)))
+
+        planes = [[differ(b * longs + k) for b in range(SKETCH_BITS)] for k in range(longs)]
+        return sum(F.bit_count(reduce(Column.bitwiseOR, p)) for p in planes) <= most
+
+    return alike
+
+
 def probability_jaccard(left: list[str], right: list[str]) -> np.ndarray:
     """Exact probability Jaccard similarity of the shingles of each pair of texts.
 
@@ -200,7 +248,15 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     signed = materialize(keyed.select("node", "text").mapInArrow(_sign, "node long, keys array<long>"), "signatures")
     reps = members.filter("node = first").select("node").distinct()
     buckets = signed.join(reps, "node", "left_semi").select(F.explode("keys").alias("key"), "node").distinct()
-    labels = link_buckets(materialize(buckets, "buckets"), _verify(keyed.select("node", "text"), threshold))
+    texts = keyed.select("node", "text")
+    labels = link_buckets(
+        materialize(buckets, "buckets"),
+        _verify(texts, threshold),
+        open_per_row=OPEN_PER_ROW,
+        central=True,
+        sketch=_sketch(texts),
+        alike=_alike(threshold),
+    )
     named = members.join(labels.withColumnRenamed("node", "first"), "first", "left")
     return named.select("doc_id", F.coalesce("label", "first").alias("class_id"), "node", "th", "first")
 

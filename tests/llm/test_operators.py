@@ -256,6 +256,32 @@ def test_registers_estimate_probability_jaccard():
     assert abs((registers[0] == registers[1]).mean() - exact) < 0.15
 
 
+def test_sketches_tell_pairs_far_below_the_threshold(spark):
+    random.seed(5)
+    base = [f"v{i}" for i in range(150)]
+
+    def changed(n):
+        words = list(base)
+        for _ in range(n):
+            words[random.randrange(150)] = f"x{random.random()}"
+        return " ".join(words)
+
+    texts = [(i, changed(i % 9)) for i in range(120)]
+    docs = spark.createDataFrame(texts, "node long, text string")
+    alike = near_dups._alike(0.8)
+    some = near_dups._sketch(docs)(docs.select("node"))
+    l, m = some.alias("l"), some.alias("m")
+    met = {(r.u, r.v) for r in l.join(m, (F.col("l.node") < F.col("m.node")) & alike("l.", "m.")).select(F.col("l.node").alias("u"), F.col("m.node").alias("v")).collect()}
+    bags = {k: _shingles(t) for k, t in texts}
+    exact = {(a, b): _jaccard(bags[a], bags[b]) for a, b in itertools.combinations(range(120), 2)}
+    assert {p for p, j in exact.items() if j >= 0.8} <= met
+    assert not {p for p, j in exact.items() if j < 0.68} & met
+    # those with many changes are linked to nothing, the others to the base
+    links = [p for p, j in exact.items() if j >= 0.8]
+    got = near_dups.classes(docs.select(F.col("node").alias("doc_id"), "text"))
+    assert {r.doc_id: r.class_id for r in got.collect()} == _roots(bags, links)
+
+
 # op5, op7, op10
 
 
