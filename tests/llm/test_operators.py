@@ -208,6 +208,44 @@ def test_simhash_is_a_majority_for_any_number_of_words(spark):
         assert row.h & (2**64 - 1) == bits
 
 
+def test_fuzzy_lines_find_all_short_pairs_by_edit_similarity_alone(spark):
+    random.seed(11)
+
+    def edited(text, n):
+        text = list(text)
+        for _ in range(n):
+            i = random.randrange(len(text))
+            text[i : i + 1] = random.choice(["", "z", text[i] + "y"])
+        return "".join(text)
+
+    base = ["".join(random.choice("abcdefgh ") for _ in range(n)) for n in range(9, 60)]
+    texts = enumerate([*base, *(edited(x, n) for x in base for n in (1, 1, len(x) // 10, len(x) // 10))])
+    docs = spark.createDataFrame(list(texts), "doc_id long, text string")
+    lines = fuzzy_lines._lines(docs)
+    nodes = {r.node: r.line for r in lines.collect()}
+    links = [
+        (a, b)
+        for (a, x), (b, y) in itertools.combinations(sorted(nodes.items()), 2)
+        if 10 * abs(len(x) - len(y)) <= max(len(x), len(y)) < fuzzy_lines.SHORT and 10 * _distance(x, y) <= max(len(x), len(y))
+    ]
+    assert len(links) > 100
+    label = {r.node: r.label for r in fuzzy_lines.groups(lines).collect()}
+    assert all(label.get(a, a) == label.get(b, b) for a, b in links)
+
+
+def test_fuzzy_lines_find_a_changed_letter_or_word_at_every_length(spark):
+    random.seed(12)
+    rows = []
+    for i in range(300):
+        words = ["".join(random.choice("abcdefgh") for _ in range(random.randrange(2, 9))) for _ in range(13 + i // 2)]
+        other = list(words)
+        k = random.randrange(len(words))
+        other[k] = "x" + words[k][1:] if i % 2 else "y" * len(words[k])
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    found = fuzzy_lines.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.row.doc_id for r in found.filter("n_removed = 1").collect()} == set(range(1, 600, 2))
+
+
 # op4
 
 
