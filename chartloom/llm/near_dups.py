@@ -39,6 +39,8 @@ from chartloom.llm.components import link_buckets
 from chartloom.llm.spans import BASE, code_points, hash_spans, mix, word_spans
 
 WORDS, THRESHOLD = 5, 0.8
+# A similarity that is the threshold may come out less by rounding of its sum.
+ROUNDING = 1e-9
 # A pair at the threshold shares a band with probability 1 - (1 - 0.8 ** 6) ** 24 = 0.999.
 BANDS, ROWS = 24, 6
 REGISTERS = BANDS * ROWS
@@ -206,7 +208,7 @@ def _verify(texts: DataFrame, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, left in text_slices([batch], "left"):
-                similar = probability_jaccard(left, [t or "" for t in part["right"].to_pylist()]) >= threshold
+                similar = probability_jaccard(left, [t or "" for t in part["right"].to_pylist()]) >= threshold - ROUNDING
                 yield part.select(["u", "v"]).filter(pa.array(similar))
 
     def verify(pairs: DataFrame) -> DataFrame:

@@ -320,6 +320,17 @@ def test_sketches_tell_pairs_far_below_the_threshold(spark):
     assert {r.doc_id: r.class_id for r in got.collect()} == _roots(bags, links)
 
 
+def test_near_duplicates_at_exactly_the_threshold(spark):
+    # 8 * e common shingles of 10 * e in all; the last e words differ
+    pairs = []
+    for e in range(1, 31):
+        words = [f"p{e}_{k}" for k in range(8 * e + 4)]
+        pairs.append((2 * e, 2 * e + 1, *(" ".join(words + [f"{side}{e}_{k}" for k in range(e)]) for side in "ab")))
+    texts = spark.createDataFrame([row for u, v, a, b in pairs for row in ((u, a), (v, b))], "node long, text string")
+    found = near_dups._verify(texts, near_dups.THRESHOLD)(spark.createDataFrame([p[:2] for p in pairs], "u long, v long"))
+    assert {(r.u, r.v) for r in found.collect()} == {p[:2] for p in pairs}
+
+
 # op5, op7, op10
 
 
