@@ -181,11 +181,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
         "doc_id",
         "text",
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("ord"),
-        F.hash("text").alias("th"),
+        F.xxhash64("text").alias("th"),
     )
     listed = materialize(
         keyed.select("ord", "th", "text").mapInArrow(
-            _list_segments(window, seed), "ord long, th int, anchor long, g1 long, g2 long, start int, n int"
+            _list_segments(window, seed), "ord long, th long, anchor long, g1 long, g2 long, start int, n int"
         ),
         "segments",
     )
@@ -206,7 +206,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
     windows = materialize(
         by_doc.join(open_runs, DOC)
         .select(*DOC, "text", "runs")
-        .mapInArrow(_list_windows(window), "ord long, th int, start int, w1 long, w2 long"),
+        .mapInArrow(_list_windows(window), "ord long, th long, start int, w1 long, w2 long"),
         "windows",
     )
     first = windows.groupBy("w1", "w2").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).filter("first <> last")

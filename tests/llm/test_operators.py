@@ -472,6 +472,16 @@ def test_repeats_against_all_windows(spark, odd, none):
     assert substrings.remove_repeats(rows_of(none)).count() == 0
 
 
+def test_repeats_of_null_ids_stay_with_their_text(spark):
+    passage, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "pq")
+    some = spark.range(200_000).select(*(F.concat(F.lit(t), F.lit(" n"), F.col("id").cast("string")).alias(c) for t, c in ((passage, "x"), (other, "y"))))
+    x, y = some.select("x", F.hash("x").alias("h")), some.select("y", F.hash("y").alias("h"))
+    met = x.join(y, "h").agg(F.min(F.struct("x", "y")).alias("m")).first().m  # equal in 32 bits
+    docs = spark.createDataFrame([(1, passage), (None, met.x), (None, met.y)], "doc_id long, text string")
+    got = {(r.doc_id, r.n_removed, r.kept) for r in substrings.remove_repeats(docs).collect()}
+    assert got == {(1, 0, passage), (None, 60, met.x.split(" ")[-1]), (None, 0, met.y)}
+
+
 # pipeline
 
 
