@@ -10,6 +10,8 @@ documents of each language, spread evenly by a hash of their id.  Prediction
 reads whole texts.  Families are listed in FAMILIES; a language not listed there
 is a family of its own.
 
+The score is the chance of the best family as a share of the two best, times the
+mean chance in the pairs; it does not depend on how many families there are.
 Null texts and texts without a letter are ``und`` with score 0, as is every text
 if there is nothing to learn from.
 """
@@ -160,8 +162,10 @@ def predict_texts(texts: list[str], model: Model) -> tuple[list[str], np.ndarray
         return [UNDETERMINED] * n, np.zeros(n)
     chance = 1 / (1 + np.exp(-2 * (x @ model.weights)))
     f = len(model.families)
-    own = chance[:, :f] / chance[:, :f].sum(axis=1, keepdims=True)
-    best = own.argmax(axis=1)
+    best = chance[:, :f].argmax(axis=1)
+    # against the second family only, so that the score does not fall with the number of families
+    lead = np.sort(chance[:, :f], axis=1)[:, -2:]
+    lead = lead[:, -1] / lead.sum(axis=1)
     # wins in pairs, then the sum of the chances, decide among the languages of a family
     index = {name: i for i, name in enumerate(model.languages)}
     wins, belief, duels = np.zeros((n, len(index))), np.zeros((n, len(index))), np.zeros(len(index))
@@ -174,7 +178,7 @@ def predict_texts(texts: list[str], model: Model) -> tuple[list[str], np.ndarray
     mean = np.where(duels, belief / np.maximum(duels, 1), 1.0)
     in_family = np.array([[name in model.members[fam] for name in model.languages] for fam in model.families])
     chosen = np.where(in_family[best], wins + mean / 2, -1.0).argmax(axis=1)
-    score = own[np.arange(n), best] * mean[np.arange(n), chosen]
+    score = lead * mean[np.arange(n), chosen]
     names = [model.languages[c] if some else UNDETERMINED for c, some in zip(chosen, letters)]
     return names, np.where(letters > 0, np.clip(score, 0, 1), 0.0)
 

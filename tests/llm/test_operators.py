@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import regex
@@ -422,6 +423,26 @@ def test_languages_of_held_out_documents(spark, sf_dir, odd, none):
     assert {r.lang_pred for r in language_id.identify(odd, empty).collect()} == {"und"}
 
 
+def test_clean_texts_stay_with_many_families(spark):
+    random.seed(15)
+    for families in (2, 15, 30):
+        rows = []
+        for f in range(families):
+            letters = random.sample("abcdefghijklmnopqrstuvwxyz", 8)
+            for _ in range(20):
+                words = ("".join(random.choices(letters, k=random.randrange(2, 7))) for _ in range(12))
+                rows.append((len(rows), " ".join(words), f"x{f}"))
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        assert corpus_pipeline.language_identification(spark, docs, "").count() == len(rows), families
+    # margins of 1 for one family and -1 for the others
+    for n in (2, 15, 20, 100):
+        names = [f"x{i}" for i in range(n)]
+        weights = np.zeros(((1 << language_id.DIMENSIONS_LOG2) + 1, n))
+        weights[-1] = [1, *[-1] * (n - 1)]
+        found, scores = language_id.predict_texts(["some text"], language_id.Model(names, names, {x: [x] for x in names}, weights))
+        assert found == ["x0"] and scores[0] == pytest.approx(0.8808, abs=1e-4)
+
+
 # op8
 
 
