@@ -8,8 +8,9 @@ narrow band of each; noise, binary data and boilerplate do not.
 The bands belong to the script that most letters of a text have.  They are
 taken from the measures of all documents that pass the base rules: the median,
 and MARGIN times the distance from it to the 5th or 95th percentile, but never
-closer to the median than the factor SLACK.  A script with fewer than
-LEAST_DOCS documents has the wide bands DEFAULT instead.
+closer to the median than the factor SLACK.  No band is wider than DEFAULT,
+however much of the input is noise.  A script with fewer than LEAST_DOCS
+documents has the bands DEFAULT instead.
 
 Null and empty texts have no words and fail the base rules, as does any text of
 under 50 words.  Rows are judged one by one; repeated rows get equal verdicts.
@@ -187,6 +188,9 @@ def bands(measured: DataFrame) -> DataFrame:
         "share_high": F.greatest(MARGIN * share, F.lit(LEAST_SHARE)),
         "entropy_low": F.least(entropy - MARGIN * (entropy - quantile("entropy", low)), SLACK * entropy),
     }
+    limits = {
+        name: (F.greatest if name.endswith("_low") else F.least)(limit, F.lit(DEFAULT[name])) for name, limit in limits.items()
+    }
     enough = F.count("*") >= LEAST_DOCS
     return (
         measured.filter(~base_failed())

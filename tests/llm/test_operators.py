@@ -140,6 +140,16 @@ def test_fertility_rejects_noise_and_keeps_prose(spark, documents):
     assert sound.filter("kept").count() >= 0.97 * sound.count()
 
 
+def test_fertility_limits_hold_if_a_third_is_noise(spark, documents):
+    random.seed(16)
+    n = documents.count() // 2
+    noise = [(10**6 + i, " ".join("".join(random.choice("ĀęƠǄʣϞҔ֏߷ࢠ") for _ in range(9)) for _ in range(60 + i % 40))) for i in range(n)]
+    judged = fertility.judge(documents.unionAll(spark.createDataFrame(noise, "doc_id long, text string")), PIECES)
+    assert judged.filter("doc_id >= 1000000 and kept").count() == 0
+    sound = judged.filter("doc_id < 1000000 and not base_failed")
+    assert sound.filter("kept").count() >= 0.97 * sound.count()
+
+
 # op3
 
 
