@@ -516,6 +516,13 @@ def test_repeats_of_null_ids_stay_with_their_text(spark):
 # pipeline
 
 
+def test_copies_whose_lines_all_went_leave_the_pipeline(spark):
+    rows = [(1, "a first line of text\nand a second one"), (2, "a first line of text\nand a second one"), (3, "and a second one\n"), (4, ""), (5, None), (6, "a first line of text\nown words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long"))
+    kept = corpus_pipeline.line_dedup(spark, docs, "")
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {rows[0], rows[3], rows[4], (6, "own words")}
+
+
 def test_pipeline_on_odd_rows_and_on_tables(spark, sf_dir, odd, none):
     for docs in (odd, none, table(spark, sf_dir, "documents")):
         columns = docs.columns
