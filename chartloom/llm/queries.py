@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
@@ -15,10 +15,13 @@ from chartloom.llm import (
     fuzzy_lines,
     language_id,
     near_dups,
+    secrets,
     substrings,
     token_files,
     transducer,
+    vector_codes,
     warc,
+    word_runs,
 )
 from chartloom.llm.common import rows_of, table
 from chartloom.session import scratch_path
@@ -104,6 +107,69 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = rows_of(table(spark, sf_dir, "documents"))
+    found = secrets.find_secrets(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    base = F.filter("spans", lambda s: s.kind.isin(*secrets.BASE_KINDS))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(number, secrets.BASE_KINDS),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Documents, of which one in ten repeats the words from some place on.
+
+    With h the CRC-32 of the decimal id: where h % 10 = 0, every word i >= a of
+    n becomes word a + (i - a) % p, with a = h // 10 % n and
+    p = 1 + (n - a) // (3 + h // 10 % 8).
+    """
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    split = docs.withColumn("_h", h).withColumn("_words", F.when(F.col("_h") % 10 == 0, words))
+    place = "CAST(floor(_h / 10) AS BIGINT)"
+    planned = split.withColumn("_a", F.expr(f"CAST({place} % nullif(size(_words), 0) AS INT)")).withColumn(
+        "_p", F.expr(f"CAST(1 + floor((size(_words) - _a) / (3 + {place} % 8)) AS INT)")
+    )
+    rest = F.expr("slice(flatten(array_repeat(slice(_words, _a + 1, _p), 11)), 1, size(_words) - _a)")
+    repeated = F.array_join(F.concat(F.slice("_words", 1, F.col("_a")), rest), " ")
+    changed = F.when(F.size("_words") > 0, repeated).otherwise(F.col("text"))
+    return planned.select("doc_id", changed.alias("text"))
+
+
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = word_runs.find_runs(with_periods(rows_of(table(spark, sf_dir, "documents"))))
+    # the greatest length first, then the smallest start and period
+    first = F.array_min(F.transform("runs", lambda r: F.struct(-r.length, r.start, r.period)))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    longest = found.withColumn("_first", first)
+    start, length, period = F.col("_first.start"), -F.col("_first.col1"), F.col("_first.period")
+    return longest.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("(1000 * -_first.col1) div _first.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_fertility": op2_fertility,
@@ -115,6 +181,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_files": op10_token_files,
+    "op11_token_efficiency": op11_token_efficiency,
+    "op12_word_runs": op12_word_runs,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 # Words of a text for the SQL below.
@@ -186,3 +255,109 @@ ORACLE: dict[str, str] = {
         FROM d LEFT JOIN k USING (doc_id)
     """,
 }
+
+# Decimal id to CRC-32, a byte and then a bit at a time.
+_CRC32 = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({0}) + 1), "
+    "lambda i: ascii({0}[i])::BIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), "
+    "[0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, z: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT)"
+)
+
+# A run of period q covers four multiples of q in a row, so only such periods are tried.
+ORACLE["op12_word_runs"] = f"""
+    WITH o AS (SELECT doc_id, {_CRC32.format('CAST(doc_id AS VARCHAR)')} AS h, {_OP9_WORDS} AS ws FROM documents),
+    s AS (SELECT *, len(ws) AS n, h // 10 AS g FROM o),
+    a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM s),
+    p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+    w AS MATERIALIZED (
+        SELECT doc_id, i, CASE WHEN i >= a THEN ws[a + (i - a) % p + 1] ELSE ws[i + 1] END AS word
+        FROM (SELECT *, unnest(range(0, n)) AS i FROM p)
+    ),
+    d AS MATERIALIZED (SELECT doc_id, list(word ORDER BY i) AS ws, count(*) AS n FROM w GROUP BY doc_id),
+    q AS MATERIALIZED (
+        SELECT DISTINCT doc_id, q
+        FROM (SELECT *, unnest(range(0, (n - 1) // q - 2)) AS k FROM (SELECT *, unnest(range(1, n // 4 + 1)) AS q FROM d))
+        WHERE ws[k * q + 1] = ws[k * q + q + 1] AND ws[k * q + 1] = ws[k * q + 2 * q + 1]
+          AND ws[k * q + 1] = ws[k * q + 3 * q + 1]
+    ),
+    e AS (
+        SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS stretch
+        FROM (SELECT doc_id, q, ws, unnest(range(0, n - q)) AS i FROM q JOIN d USING (doc_id))
+        WHERE ws[i + 1] = ws[i + q + 1]
+    ),
+    r AS MATERIALIZED (
+        SELECT doc_id, start, length, min(q) AS period
+        FROM (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM e GROUP BY doc_id, q, stretch)
+        WHERE length >= greatest(6, 4 * q)
+        GROUP BY doc_id, start, length
+    ),
+    f AS (
+        SELECT doc_id, count(*) AS n_runs,
+               first({{'s': start, 'l': length, 'p': period}} ORDER BY length DESC, start, period) AS f,
+               sha256(string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period)) AS runs_sha256
+        FROM r GROUP BY doc_id
+    ),
+    c AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+    k AS (SELECT doc_id, sha256(string_agg(word, ' ' ORDER BY i)) AS kept FROM w ANTI JOIN c USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_runs, 0) AS n_runs, f.s AS start, f.l AS length, f.p AS period,
+           1000 * f.l // f.p AS exponent_milli, coalesce(runs_sha256, sha256('')) AS runs_sha256,
+           coalesce(kept, sha256('')) AS collapsed_sha256
+    FROM documents LEFT JOIN f USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
+def _codes_sql() -> str:
+    parts, entries, rounds = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS
+    distance = "list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = [
+        f"""
+        k AS (
+            SELECT row_number() OVER () AS row, vec_id, label,
+                   list_transform(embedding, lambda c: CAST(floor({vector_codes.SCALE} * c) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda c: coalesce(NOT isfinite(c), true))) = 0
+        ),
+        x AS MATERIALIZED (
+            SELECT row, part, v[part * len(v) // {parts} + 1:(part + 1) * len(v) // {parts}] AS v
+            FROM (SELECT *, unnest(range(0, {parts})) AS part FROM k)
+        ),
+        b0 AS MATERIALIZED (
+            SELECT part, entry, x.v
+            FROM x JOIN (SELECT row, row_number() OVER (ORDER BY vec_id, v) - 1 AS entry FROM k) USING (row)
+            WHERE entry < {entries}
+        )"""
+    ]
+    for turn in range(rounds + 1):
+        steps.append(f"""
+        a{turn} AS MATERIALIZED (
+            SELECT part, row, min({{'d': {distance}, 'e': entry}}) AS best FROM x JOIN b{turn} b USING (part) GROUP BY part, row
+        )""")
+        if turn < rounds:
+            steps.append(f"""
+        m{turn} AS (
+            SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY place) AS v
+            FROM (
+                SELECT part, best.e AS entry, place, sum(c) AS s, count(*) AS n
+                FROM (SELECT part, row, unnest(v) AS c, unnest(range(0, len(v))) AS place FROM x) JOIN a{turn} USING (part, row)
+                GROUP BY ALL
+            )
+            GROUP BY part, entry
+        ),
+        b{turn + 1} AS MATERIALIZED (
+            SELECT part, entry, coalesce(m{turn}.v, b{turn}.v) AS v FROM b{turn} LEFT JOIN m{turn} USING (part, entry)
+        )""")
+    return f"""
+        WITH {','.join(steps)},
+        c AS (
+            SELECT row, string_agg(printf('%02x', CAST(best.e AS INTEGER)), '' ORDER BY part) AS code,
+                   CAST(sum(best.d) AS BIGINT) AS error
+            FROM a{rounds} GROUP BY row
+        ),
+        h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM k JOIN c USING (row), h
+    """
+
+
+ORACLE["op13_vector_codes"] = _codes_sql()
