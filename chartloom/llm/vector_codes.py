@@ -9,8 +9,10 @@ of the mean of its parts.  Unused entries stay.
 The nearest entry is looked up through a grid.  A part falls into a cell, a box
 of WIDTH in each dimension.  An entry whose least distance to the box exceeds
 the greatest distance of another one cannot be nearest to any point in it; the
-entries that remain are computed once per cell, memoised under the cell's
-coordinates, and only they are evaluated exactly.  The memo belongs to one task
+entries that remain are computed once per cell, memoised under a hash of the
+cell's coordinates, and only they are evaluated exactly.  Coordinates are kept
+and compared, so that a cell of equal hash costs an evaluation of all entries
+and nothing else.  The memo belongs to one task
 and one codebook, and is emptied when it holds MOST_CELLS cells, which changes
 nothing but the time.
 
@@ -42,11 +44,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.llm.common import BROADCAST_ROWS, materialize, same
+from chartloom.llm.spans import mix, powers
 
 SCALE, PARTS, ENTRIES, ROUNDS = 4096, 8, 16, 6
 LIMIT = 1 << 24
 # Edge of a grid cell, in integer units, and cells a task remembers per part.
-WIDTH, MOST_CELLS = 768, 1 << 16
+WIDTH, MOST_CELLS = 192, 1 << 16
 
 
 def whole_vector(column: str) -> Column:
@@ -89,7 +92,8 @@ class CellMemo:
         self._clear()
 
     def _clear(self) -> None:
-        self.places: dict[bytes, int] = {}
+        self.keys = np.zeros(0, dtype=np.uint64)  # hashes of the cells, ascending
+        self.cells = np.zeros((0, self.book.shape[1]), dtype=np.int64)
         self.open = np.zeros((0, len(self.book)), dtype=bool)
 
     def undominated(self, cells: np.ndarray) -> np.ndarray:
@@ -101,26 +105,31 @@ class CellMemo:
         greatest = np.maximum(np.abs(below), np.abs(above))
         return (least**2).sum(axis=2) <= (greatest**2).sum(axis=2).min(axis=1, keepdims=True)
 
-    def cell_places(self, parts: np.ndarray) -> np.ndarray:
-        """Where ``open`` has the cell of each part; new cells are added."""
-        cells = np.ascontiguousarray(parts // self.width)
-        keys = cells.view(np.dtype((np.void, cells.itemsize * cells.shape[1]))).ravel()
-        distinct, example, number = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.places) + len(distinct) > self.most_cells:
+    def open_entries(self, parts: np.ndarray) -> np.ndarray:
+        """Per part, the entries to evaluate; new cells are remembered."""
+        cells = parts // self.width
+        hashes = mix(cells.astype(np.uint64) @ powers(cells.shape[1]))
+        keys, example, number = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.keys) + len(keys) > self.most_cells:
             self._clear()
-        names = [key.tobytes() for key in distinct]
-        fresh = [i for i, name in enumerate(names) if name not in self.places]
-        self.places.update((names[i], len(self.open) + k) for k, i in enumerate(fresh))
-        if fresh:
-            self.open = np.concatenate((self.open, self.undominated(cells[example[fresh]])))
-        return np.array([self.places[name] for name in names], dtype=np.int64)[number.ravel()]
+        fresh = ~np.isin(keys, self.keys, assume_unique=True)
+        if fresh.any():
+            added = cells[example[fresh]]
+            merged = np.concatenate((self.keys, keys[fresh]))
+            order = np.argsort(merged)
+            self.keys = merged[order]
+            self.cells = np.concatenate((self.cells, added))[order]
+            self.open = np.concatenate((self.open, self.undominated(added)))[order]
+        places = np.searchsorted(self.keys, keys)[number]
+        found = self.open[places]
+        found[(self.cells[places] != cells).any(axis=1)] = True  # another cell of equal hash
+        return found
 
     def nearest(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The nearest entry of each part and the squared distance to it."""
         if not parts.size:
             return np.zeros(len(parts), dtype=np.int64), np.zeros(len(parts), dtype=np.int64)
-        places = self.cell_places(parts)  # may add to ``open``
-        row, entry = np.nonzero(self.open[places])
+        row, entry = np.nonzero(self.open_entries(parts))
         distance = ((parts[row] - self.book[entry]) ** 2).sum(axis=1)
         begins = np.flatnonzero(np.diff(row, prepend=-1))
         least = np.minimum.reduceat(distance, begins)

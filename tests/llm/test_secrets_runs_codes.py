@@ -302,7 +302,10 @@ def test_names_of_columns_are_free(spark):
     )
 
 
-def test_cells_leave_out_no_nearest_entry():
+@pytest.mark.parametrize("colliding", [False, True])
+def test_cells_leave_out_no_nearest_entry(monkeypatch, colliding):
+    if colliding:
+        monkeypatch.setattr(vector_codes, "mix", lambda x: x % np.uint64(97))
     rng = np.random.default_rng(1)
     book = rng.integers(-2000, 2000, (16, 3))
     book[5] = book[3]
@@ -316,6 +319,14 @@ def test_cells_leave_out_no_nearest_entry():
     assert vector_codes.CellMemo(book, 100).undominated(parts[:500] // 100).sum() < 500 * 8
 
 
+def test_cells_are_remembered(monkeypatch):
+    memo = vector_codes.CellMemo(np.arange(48).reshape(16, 3) * 50)
+    parts = np.random.default_rng(2).integers(-500, 2500, (300, 3))
+    first = memo.nearest(parts)
+    monkeypatch.setattr(memo, "undominated", None)
+    assert all((a == b).all() for a, b in zip(memo.nearest(parts[::-1]), first, strict=True) for a, b in [(a[::-1], b)])
+
+
 def test_label_errors_with_more_labels_than_are_broadcast(spark):
     labels = ["hot"] * 300 + [f"l{i}" for i in range(200)] + [None] * 50
     coded = spark.createDataFrame([(i, label, "", i) for i, label in enumerate(labels)], "vec_id long, label string, code string, error long")
