@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chartloom.plans.testbed import CATEGORY, DAY, MIN_VIEWS, PAGE_SIZE, REGIONS
+from chartloom.plans.testbed import CATEGORY, DAY, FETCHES, MIN_VIEWS, PAGE_SIZE, REGIONS
 
 RETITLE_DAY = "2024-01-16"
 
@@ -182,6 +182,20 @@ FACT = """
          view_count, like_count, comment_count, regional_rank, pulled_at
   FROM chart"""
 
+# The titles that the raw zone's lookups give, and the chart named by the lookup of each date.
+TITLES = f"""(
+  SELECT DISTINCT p_type AS id, n, since, until,
+         CASE n WHEN 1 THEN CASE WHEN p_type <> 'PROMO' THEN p_type END
+                WHEN 2 THEN CASE WHEN p_type <> 'SMALL' THEN lower(p_type) END
+                ELSE CASE p_type WHEN 'STANDARD' THEN 'STANDARD 3' WHEN 'PROMO' THEN NULL ELSE p_type END
+         END AS title
+  FROM part, (VALUES (1, DATE '{FETCHES[0]}', DATE '{FETCHES[1]}'), (2, DATE '{FETCHES[1]}', DATE '{FETCHES[2]}'),
+                     (3, DATE '{FETCHES[2]}', CAST(NULL AS DATE))) AS f(n, since, until))"""
+NAMED = f"""(
+  SELECT c.* REPLACE (coalesce(t.title, 'UNKNOWN') AS category_name)
+  FROM chart AS c LEFT JOIN {TITLES} AS t
+    ON t.id = c.category_id AND t.since <= c.ingest_date AND (t.until > c.ingest_date OR t.until IS NULL))"""
+
 
 def check(name: str, observed: str, expected: str = "0") -> str:
     return f"""
@@ -239,8 +253,11 @@ ON_CHART = {
     "staging_projection": _FLAT_ALL,
     "scope_filter": f"SELECT {FLAT} FROM day",
     "available_dates": "SELECT DISTINCT ingest_date FROM chart",
-    "lookup_join_default": """SELECT video_id, region_code, ingest_date, category_id,
-        category_name FROM chart""",
+    "lookup_join_default": f"""SELECT video_id, region_code, ingest_date, category_id,
+        category_name FROM {NAMED} AS c""",
+    "lookup_versions": f"""SELECT id, title, min(since) AS valid_from, arg_max_null(until, n) AS valid_to
+        FROM (SELECT *, n - row_number() OVER (PARTITION BY id, title ORDER BY n) AS period
+              FROM {TITLES} AS t WHERE title IS NOT NULL) AS p GROUP BY id, title, period""",
     "lookup_unmatched": """SELECT category_id, count(*) AS row_count FROM chart
         WHERE category_name = 'UNKNOWN' GROUP BY category_id""",
     "dim_key_resolve": """SELECT category_id, category_name, count(*) AS row_count FROM chart
@@ -280,7 +297,12 @@ ON_CHART = {
         JOIN {VIDEO_VERSIONS} AS v ON v.video_id = t.video_id AND v.is_current""",
     "fact_load": FACT,
     "run_day": FACT,
-    "stream_daily_load": FACT,
+    "stream_daily_load": f"""SELECT f.* REPLACE (l.category_name AS category_name)
+        FROM ({FACT.replace('FROM chart', ', category_id FROM chart')}) AS f
+        JOIN (SELECT category_id, arg_max(category_name, ingest_date) AS category_name
+              FROM {NAMED} AS c GROUP BY category_id) AS l USING (category_id)""".replace(
+        "f.* REPLACE", "f.* EXCLUDE (category_id) REPLACE"
+    ),
     "idempotent_claim": f"""SELECT DISTINCT ingest_date FROM chart
         WHERE ingest_date > DATE '{DAY}'""",
     "backfill": f"""SELECT v.video_id, v.video_title, p.published_at, v.valid_from, v.valid_to,
@@ -433,7 +455,7 @@ ON_CHART = {
     "check_bridge_complete": check(
         "bridge_complete", "SELECT count(*) FROM (SELECT DISTINCT video_id, region_code FROM chart) AS x"
     ),
-    "stream_manifest_batches": _FLAT_ALL,
+    "stream_manifest_batches": f"SELECT {FLAT} FROM {NAMED} AS c",
     "stream_dedup_delivery": f"""SELECT ingest_date, CAST(1 AS BIGINT) AS claims,
         CASE WHEN ingest_date > DATE '{DAY}' THEN count(*) END AS merged_rows
         FROM chart GROUP BY ingest_date""",

@@ -167,6 +167,10 @@ def lookup_rows(spark, sf_dir):
     return files.scan_category_lookup(spark, f"{tb.landing_root(spark, sf_dir)}/lookup", tb.DAY)
 
 
+def lookup_history(spark, sf_dir):
+    return files.scan_lookup_versions(spark, f"{tb.landing_root(spark, sf_dir)}/lookup")
+
+
 @query("flatten_nested")
 def _(spark, sf_dir):
     return plain(clean.flatten_nested(raw_rows(spark, sf_dir), "region"))
@@ -204,11 +208,14 @@ on_chart("available_dates", available_dates)
 
 @query("lookup_join_default")
 def _(spark, sf_dir):
-    return manifests.merge_batch(raw_rows(spark, sf_dir), lookup_rows(spark, sf_dir)).select(
+    return manifests.merge_batch(raw_rows(spark, sf_dir), lookup_history(spark, sf_dir)).select(
         "video_id", "region_code", "ingest_date", "category_id", "category_name"
     )
 
 
+query("lookup_versions")(lambda spark, sf_dir: lookup_history(spark, sf_dir).drop("assignable"))
+
+
 @query("lookup_unmatched")
 def _(spark, sf_dir):
     flat = clean.flatten_nested(raw_rows(spark, sf_dir), "region")
@@ -653,11 +660,10 @@ def drain(query) -> None:
 def _(spark, sf_dir):
     root = tb.landing_root(spark, sf_dir)
     out, state = scratch_path(spark, "streamed"), scratch_path(spark, "state")
-    lookup = lookup_rows(spark, sf_dir)
 
     def on_batch(arrived: DataFrame, _batch: int) -> None:
         raw = manifests.scan_batches(spark, arrived, root)
-        files.replace_partition(manifests.merge_batch(raw, lookup), out)
+        files.replace_partition(manifests.merge_batch(raw, lookup_history(spark, sf_dir)), out)
 
     drain(stream.stream_manifest_batches(spark, f"{root}/control", on_batch, state))
     return plain(spark.read.parquet(out))
@@ -674,12 +680,12 @@ def _(spark, sf_dir):
     on_batch = stream.merge_to_chart(
         root,
         out,
-        lookup_rows(spark, sf_dir),
+        lambda: lookup_history(spark, sf_dir),
         lambda: spark.read.schema("ingest_date date").parquet(claims),
         lambda days: days.write.mode("append").parquet(claims),
     )
     for _delivery in ("first", "second"):
-        tb.write_manifests(rows, control)
+        tb.write_manifests(spark, root, control)
         drain(stream.stream_manifest_batches(spark, control, on_batch, state))
     claimed = spark.read.parquet(claims).groupBy("ingest_date").agg(
         F.count(F.lit(1)).alias("claims")
@@ -699,7 +705,7 @@ def _(spark, sf_dir):
             spark,
             f"{root}/control",
             root,
-            lookup_rows(spark, sf_dir),
+            lambda: lookup_history(spark, sf_dir),
             house,
             scratch_path(spark, "state"),
         )

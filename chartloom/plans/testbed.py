@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chartloom.functions import iso_text
@@ -20,6 +20,7 @@ from chartloom.schemas import FLAT_COLUMNS
 from chartloom.session import scratch_path
 from chartloom.sources.files import (
     land_raw,
+    path_columns,
     replace_partition,
     scan_flat_partitioned,
     write_ndjson,
@@ -33,6 +34,8 @@ CATEGORY = "SMALL"
 ONE_DAY = Scope(DAY, REGIONS)
 ALL_DAYS = Scope(None, REGIONS)
 CALENDAR = ("2024-01-01", "2024-12-31")
+# Days on which the category lookup of the raw zone was fetched.
+FETCHES = ("2023-12-31", "2024-01-12", "2024-01-22")
 PAGE_SIZE = 50
 
 
@@ -170,21 +173,33 @@ def nested(rows: DataFrame) -> DataFrame:
     )
 
 
+def lookup_titles() -> list[Column]:
+    """The title of a category in each fetch, NULL where the fetch lacks it.
+
+    PROMO is known to the second one only, which lacks SMALL and writes all in
+    lower case; the third renames STANDARD.
+    """
+    kind = F.col("id")
+    return [
+        F.when(kind != "PROMO", kind),
+        F.when(kind != "SMALL", F.lower(kind)),
+        F.when(kind == "STANDARD", "STANDARD 3").when(kind != "PROMO", kind),
+    ]
+
+
 def landing_root(spark: SparkSession, sf_dir: str) -> str:
     """Raw zone: ``raw/region=/ingest_date=``, ``lookup/fetched_date=``, ``control/ingest_date=``."""
 
     def build(path: str) -> None:
         rows = nested(chart(spark, sf_dir)).hint("rebalance", F.col("ingest_date"), F.col("region"))
         rows.write.partitionBy("region", "ingest_date").json(f"{path}/raw")
-        types = table(spark, sf_dir, "part").select("p_type").distinct()
-        lookup = types.filter("p_type <> 'PROMO'").select(
-            F.col("p_type").alias("id"),
-            F.col("p_type").alias("title"),
-            F.lit(True).alias("assignable"),
-            F.lit("2023-12-31").alias("fetched_date"),
-        )
-        lookup.write.partitionBy("fetched_date").json(f"{path}/lookup")
-        write_manifests(chart(spark, sf_dir), f"{path}/control")
+        types = table(spark, sf_dir, "part").select(F.col("p_type").alias("id")).distinct()
+        for fetched, title in zip(FETCHES, lookup_titles()):
+            # an outdated entry of each id comes before the one that counts
+            both = types.select("id", F.explode(F.array(F.concat(F.lit("zz "), title), title)).alias("title"))
+            entries = both.filter("title IS NOT NULL").withColumn("assignable", F.lit(True))
+            entries.coalesce(1).write.json(f"{path}/lookup/fetched_date={fetched}")
+        write_manifests(spark, path, f"{path}/control")
 
     return once(spark, sf_dir, "landing", build)
 
@@ -194,15 +209,15 @@ def delivered(rows: DataFrame) -> DataFrame:
     return rows.select("ingest_date", F.col("region_code").alias("region")).distinct()
 
 
-def write_manifests(rows: DataFrame, control: str) -> None:
-    """One manifest file per date, naming one key per region; earlier ones stay."""
-    day = F.col("ingest_date").cast("string")
-    key = F.concat(F.lit("raw/region="), F.col("region"), F.lit("/ingest_date="), day)
+def write_manifests(spark: SparkSession, root: str, control: str) -> None:
+    """One manifest file per date of a raw zone, naming its files; earlier ones stay."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/raw")
+    key = F.concat(F.lit("raw/"), F.regexp_extract("_metadata.file_path", "region=.+$", 0))
     manifests = (
-        delivered(rows)
-        .groupBy("ingest_date")
-        .agg(F.array_sort(F.collect_list(key)).alias("regions"))
-        .select(day.alias("date"), "regions", "ingest_date")
+        path_columns(listing.select(key.alias("key"), "_metadata"), {"ingest_date": "string"})
+        .groupBy(F.col("ingest_date").alias("date"))
+        .agg(F.array_sort(F.collect_list("key")).alias("regions"))
+        .withColumn("ingest_date", F.col("date"))
     )
     spread = manifests.hint("rebalance", F.col("ingest_date"))
     spread.write.mode("append").partitionBy("ingest_date").json(control)

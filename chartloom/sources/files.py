@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chartloom.operators.lookups import AbsentLookup, lookup_union_last, lookup_versions
 from chartloom.schemas import CATEGORY_LOOKUP, FLAT_TABLE
 
 
@@ -43,19 +44,47 @@ def scan_flat_partitioned(
     return spark.read.schema(schema).format(fmt).load(root)
 
 
+def scan_lookup_entries(spark: SparkSession, root: str) -> DataFrame:
+    """Entries of all category lookups with their ``fetched_date`` and place in the file."""
+    dated = T.StructType([*CATEGORY_LOOKUP.fields, T.StructField("fetched_date", T.DateType())])
+    entries = scan_ndjson(spark, root, dated)
+    # rows of a split are read in their order
+    place = F.struct(
+        "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row")
+    )
+    return entries.select("*", place.alias("place"))
+
+
+def fetch_dates(spark: SparkSession, root: str) -> DataFrame:
+    """The ``fetched_date`` of each lookup, from a listing of the files; those of zero bytes do not count."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return listing.select(path_value("fetched_date", F.col("_metadata.file_path")).cast("date").alias("fetched_date")).distinct()
+
+
+def scan_lookup_versions(spark: SparkSession, root: str) -> DataFrame:
+    """Entries of all category lookups with the period in which they hold.
+
+    Lookups lie in ``fetched_date=`` folders, one file of one JSON object per
+    line for each fetch.
+    """
+    return lookup_versions(scan_lookup_entries(spark, root), fetch_dates(spark, root))
+
+
 def scan_category_lookup(
     spark: SparkSession, root: str, day: str | dt.date | None = None
 ) -> DataFrame:
-    """The newest category lookup fetched on or before ``day``.
+    """The newest category lookup fetched on or before ``day``, one entry per id.
 
-    Lookups lie in ``fetched_date=`` folders; the choice reads folder names
-    and one aggregate row.
+    The date is chosen from folder names.  Raises if there is none.
     """
-    every = spark.read.schema(CATEGORY_LOOKUP).option("mode", "FAILFAST").json(root)
+    fetches = fetch_dates(spark, root)
     if day is not None:
-        every = every.filter(F.col("fetched_date") <= F.lit(str(day)).cast("date"))
-    newest = every.agg(F.max("fetched_date")).first()[0]
-    return every.filter(F.col("fetched_date") == F.lit(newest)).drop("fetched_date")
+        fetches = fetches.filter(F.col("fetched_date") <= F.lit(str(day)).cast("date"))
+    newest = fetches.agg(F.max("fetched_date")).first()[0]
+    if newest is None:
+        raise AbsentLookup(f"no lookup under {root} on {day}")
+    entries = scan_lookup_entries(spark, root).filter(F.col("fetched_date") == F.lit(newest))
+    return lookup_union_last(entries.drop("fetched_date"), "id", ["place"]).drop("place")
 
 
 def land_raw(spark: SparkSession, path: str, day: str | dt.date | None = None) -> DataFrame:

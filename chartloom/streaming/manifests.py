@@ -54,12 +54,13 @@ def unprocessed_batches_of(manifests: DataFrame, ledger: DataFrame) -> DataFrame
 
 
 def merge_to_chart(
-    raw_root: str, chart_root: str, lookup: DataFrame, ledger: Callable[[], DataFrame],
-    claim: Callable[[DataFrame], None],
+    raw_root: str, chart_root: str, lookups: Callable[[], DataFrame],
+    ledger: Callable[[], DataFrame], claim: Callable[[DataFrame], None],
 ) -> Callable[[DataFrame, int], None]:
     """A batch function that merges new manifests into the dated chart table.
 
-    The dates are claimed after the chart is written: a failure in between
+    ``lookups`` gives the lookup versions known when a batch arrives.  The
+    dates are claimed after the chart is written: a failure in between
     repeats the write, which replaces the same folders.
     """
 
@@ -68,7 +69,7 @@ def merge_to_chart(
         if fresh.isEmpty():
             return
         raw = scan_batches(manifests.sparkSession, fresh, raw_root)
-        replace_partition(merge_batch(raw, lookup), chart_root)
+        replace_partition(merge_batch(raw, lookups()), chart_root)
         claim(fresh.select("ingest_date"))
 
     return on_batch
@@ -78,14 +79,16 @@ def stream_daily_load(
     spark: SparkSession,
     control: str,
     raw_root: str,
-    lookup: DataFrame,
+    lookups: Callable[[], DataFrame],
     warehouse: Warehouse,
     checkpoint: str,
     on_late: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """Load the days of each micro-batch into the warehouse, in date order.
 
-    The warehouse's ledger decides what is new.  Days older than the newest
+    Each day is named by the lookup of its date, out of the versions that
+    ``lookups`` gives when its manifest arrives.  The warehouse's ledger decides
+    what is new.  Days older than the newest
     loaded one are handed to ``on_late`` for a rebuild, or refused without it.
     """
 
@@ -103,6 +106,6 @@ def stream_daily_load(
         if fresh.isEmpty():
             return
         raw = scan_batches(spark, fresh, raw_root)
-        warehouse.backfill(merge_batch(raw, lookup))
+        warehouse.backfill(merge_batch(raw, lookups()))
 
     return stream_manifest_batches(spark, control, on_batch, checkpoint)

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from builders import appearance, as_set, chart_of, raw_object, write_lines
+from builders import appearance, as_set, chart_of, date, raw_object, write_lines
 from chartloom.operators import clean, lookups
 from chartloom.schemas import CATEGORY_LOOKUP, FLAT_LINE, RAW_VIDEO
 from chartloom.sources import files, manifests
@@ -86,6 +86,63 @@ def test_manifest_reads_exactly_the_named_files(spark, tmp_path):
     assert as_set(batch, "id", "region") == {("kept", "AA")}
 
 
+def batch_of(spark, root, manifest):
+    control = write_lines(f"{root}/control/ingest_date=2024-03-01/m.json", [manifest])
+    return manifests.scan_manifest_batch(spark, control, str(root))
+
+
+def test_stale_lines_are_never_parsed(spark, tmp_path):
+    keep = "raw/region=AA/ingest_date=2024-03-01/run +1%.ndjson"
+    write_lines(str(tmp_path / keep), [raw_object("kept"), "", "  "])
+    write_lines(str(tmp_path / "raw/region=AA/ingest_date=2024-03-01/run 1.ndjson"), ["{broken"])
+    write_lines(str(tmp_path / "raw/region=AA/ingest_date=2024-02-29/run +1%.ndjson"), ["{broken"])
+    batch = batch_of(spark, tmp_path, {"date": "2024-03-01", "regions": [keep]})
+    assert as_set(batch, "id", "region", "ingest_date") == {("kept", "AA", date("2024-03-01"))}
+    # but a named file with a malformed line fails
+    write_lines(str(tmp_path / keep), [raw_object("kept"), "{broken"])
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        batch_of(spark, tmp_path, {"date": "2024-03-01", "regions": [keep]}).collect()
+
+
+@pytest.mark.parametrize(
+    "key, error",
+    [
+        ("raw/region=AA/ingest_date=2024-03-01/absent.ndjson", "absent.ndjson, which is not under"),
+        ("raw/region=AA/ingest_date=2024-03-02/x.ndjson", "manifest of 2024-03-01 names"),
+        ("raw/somewhere/x.ndjson", "manifest of 2024-03-01 names"),
+    ],
+)
+def test_manifests_of_wrong_files_are_refused(spark, tmp_path, key, error):
+    for day in ("2024-03-01", "2024-03-02"):
+        write_lines(str(tmp_path / f"raw/region=AA/ingest_date={day}/x.ndjson"), [raw_object()])
+    with pytest.raises(Exception, match=error):
+        batch_of(spark, tmp_path, {"date": "2024-03-01", "regions": [key]})
+
+
+def test_an_empty_file_is_no_missing_file(spark, tmp_path):
+    key = "raw/region=AA/ingest_date=2024-03-01/x.ndjson"
+    write_lines(str(tmp_path / key), [""])
+    assert batch_of(spark, tmp_path, {"date": "2024-03-01", "regions": [key]}).count() == 0
+    write_lines(str(tmp_path / key), [])
+    with pytest.raises(FileNotFoundError):
+        batch_of(spark, tmp_path, {"date": "2024-03-01", "regions": [key]})
+
+
+def test_folders_no_manifest_names_are_pruned(spark, tmp_path, monkeypatch):
+    days = [f"2024-03-{d:02}" for d in range(1, 21)]
+    for day in days:
+        write_lines(str(tmp_path / f"raw/region=AA/ingest_date={day}/x.ndjson"), [raw_object(day)])
+    manifest = {"date": days[4], "regions": [f"raw/region=AA/ingest_date={days[4]}/x.ndjson"]}
+    for most, wanted in ((manifests.BROADCAST_FILES, "BroadcastHashJoin"), (0, "Join")):
+        monkeypatch.setattr(manifests, "BROADCAST_FILES", most)
+        batch = batch_of(spark, tmp_path, manifest)
+        assert as_set(batch, "id") == {(days[4],)}
+        text = batch._jdf.queryExecution().executedPlan().toString()
+        assert wanted in text and "LeftSemi" in text
+        if most:
+            assert "dynamicpruning" in text.split("PartitionFilters")[1].split("\n")[0]
+
+
 def test_completeness_needs_every_region(spark):
     delivered = spark.createDataFrame(
         [("2024-03-01", "AA"), ("2024-03-01", "BB"), ("2024-03-02", "AA"), ("2024-03-02", "ZZ")],
@@ -118,6 +175,70 @@ def test_lookup_default_and_unmatched(spark):
     assert [tuple(r) for r in missing] == [(None, 1), ("99", 1)]
 
 
+def test_last_entry_of_an_id_in_order_names_it(spark):
+    rows = chart_of(spark, [appearance("a")]).drop("category_name")
+    known = spark.createDataFrame([("10", "zz", 1), ("10", "aa", 2)], "id string, title string, place int")
+    assert lookups.lookup_join(rows, known, "category_id", "title", order=["place"]).first().category_name == "aa"
+    assert lookups.lookup_join(rows, known, "category_id", "title").first().category_name == "zz"
+
+
+def dated_lookups(spark, tmp_path, fetches):
+    for day, entries in fetches.items():
+        write_lines(
+            f"{tmp_path}/lookup/fetched_date={day}/x.ndjson",
+            [{"id": i, "title": t, "assignable": True} for i, t in entries] or [""],
+        )
+    return files.scan_lookup_versions(spark, f"{tmp_path}/lookup")
+
+
+def test_lookups_as_of_the_batch(spark, tmp_path):
+    versions = dated_lookups(
+        spark,
+        tmp_path,
+        {
+            "2024-02-01": [("1", "zz"), ("1", "one"), ("2", "two")],
+            "2024-02-10": [("1", "one")],
+            "2024-02-20": [("1", "uno"), ("2", "two")],
+            "2024-02-25": [],
+            "2024-03-01": [("2", "two"), ("1", "uno")],
+        },
+    )
+    d = date
+    assert as_set(versions, "id", "title", "valid_from", "valid_to") == {
+        ("1", "one", d("2024-02-01"), d("2024-02-20")),
+        ("1", "uno", d("2024-02-20"), d("2024-02-25")),
+        ("1", "uno", d("2024-03-01"), None),
+        ("2", "two", d("2024-02-01"), d("2024-02-10")),
+        ("2", "two", d("2024-02-20"), d("2024-02-25")),
+        ("2", "two", d("2024-03-01"), None),
+    }
+    days = ["2024-02-01", "2024-02-09", "2024-02-10", "2024-02-19", "2024-02-20", "2024-02-25", "2024-02-29", "2024-05-01"]
+    rows = spark.createDataFrame(
+        [(i, d(day)) for day in days for i in ("1", "2", None)], "category_id string, ingest_date date"
+    )
+    named = lookups.lookup_as_of(rows, versions, "category_id", "ingest_date", "title")
+    got = {(r.category_id, str(r.ingest_date)): r.category_name for r in named.collect()}
+    one = ["one", "one", "one", "one", "uno", "UNKNOWN", "UNKNOWN", "uno"]
+    two = ["two", "two", "UNKNOWN", "UNKNOWN", "two", "UNKNOWN", "UNKNOWN", "two"]
+    assert got == {
+        **{("1", day): t for day, t in zip(days, one)},
+        **{("2", day): t for day, t in zip(days, two)},
+        **{(None, day): "UNKNOWN" for day in days},
+    }
+    assert as_set(lookups.valid_on(versions, "2024-02-12"), "id", "title") == {("1", "one")}
+
+
+def test_absent_lookups_are_refused(spark, tmp_path):
+    versions = dated_lookups(spark, tmp_path, {"2024-02-01": [("10", "Music")]})
+    early = chart_of(spark, [appearance(day="2024-01-31")]).drop("category_name")
+    with pytest.raises(Exception, match="no lookup for category_id before 2024-02-01; a row is of 2024-01-31"):
+        lookups.lookup_as_of(early, versions, "category_id", "ingest_date", "title").collect()
+    with pytest.raises(lookups.AbsentLookup):
+        lookups.lookup_as_of(early, versions.limit(0), "category_id", "ingest_date", "title")
+    with pytest.raises(lookups.AbsentLookup):
+        files.scan_category_lookup(spark, f"{tmp_path}/lookup", "2024-01-31")
+
+
 def test_lookup_union_last_region_wins(spark):
     entries = spark.createDataFrame(
         [("1", "first", 0), ("1", "last", 2), ("1", "middle", 1), ("2", "only", 0)],

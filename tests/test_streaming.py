@@ -4,7 +4,7 @@ import pytest
 
 from builders import as_set, raw_object, write_lines
 from chartloom.plans.warehouse import Warehouse
-from chartloom.schemas import CATEGORY_LOOKUP
+from chartloom.sources.files import scan_lookup_versions
 from chartloom.streaming.manifests import stream_daily_load, stream_manifest_batches
 
 
@@ -18,7 +18,15 @@ class Landing:
         )
         self.late = []
         write_lines(f"{root}/control/ingest_date=2024-01-01/none.txt", [])
-        self.lookup = spark.createDataFrame([("10", "Music", True)], CATEGORY_LOOKUP)
+        self.fetch("2024-01-31", "Music")
+
+    def fetch(self, day, title):
+        write_lines(
+            f"{self.root}/lookup/fetched_date={day}/x.ndjson", [{"id": "10", "title": title, "assignable": True}]
+        )
+
+    def lookups(self):
+        return scan_lookup_versions(self.spark, f"{self.root}/lookup")
 
     def deliver(self, day, run="one", **changes):
         key = f"raw/region=AA/ingest_date={day}/{run}.ndjson"
@@ -29,7 +37,7 @@ class Landing:
 
     def run(self, on_late=None):
         stream_daily_load(
-            self.spark, f"{self.root}/control", self.root, self.lookup, self.house,
+            self.spark, f"{self.root}/control", self.root, self.lookups, self.house,
             f"{self.root}/state", on_late,
         ).awaitTermination()
 
@@ -84,6 +92,30 @@ def test_failed_load_is_tried_again(landing):
     assert landing.loaded() == {"2024-03-01"}
 
 
+def test_each_day_is_named_by_the_lookup_of_its_date(spark, landing):
+    landing.fetch("2024-03-02", "Musik")
+    landing.deliver("2024-03-01")
+    landing.run()
+    named = landing.house.table("dim_category")
+    assert as_set(named, "category_name") == {("Music",)}
+    # fetched while the stream was down, and for a day that arrives later
+    landing.fetch("2024-03-03", "Musique")
+    landing.deliver("2024-03-02")
+    landing.run()
+    assert as_set(landing.house.table("dim_category"), "category_name") == {("Musik",)}
+    landing.deliver("2024-03-04")
+    landing.run()
+    assert as_set(landing.house.table("dim_category"), "category_name") == {("Musique",)}
+
+
+def test_day_before_the_first_lookup_stops_the_stream(landing):
+    landing.house.calendar = ("2024-01-01", "2024-03-31")
+    landing.deliver("2024-01-30")
+    with pytest.raises(Exception, match="no lookup for category_id before 2024-01-31"):
+        landing.run()
+    assert landing.house.store.head().ledger == []
+
+
 def test_each_manifest_fires_once(spark, landing, tmp_path):
     landing.deliver("2024-03-01")
     got = []
