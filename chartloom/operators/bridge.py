@@ -9,8 +9,37 @@ from chartloom.operators.joins import seen_today
 
 
 def staged_links(staging: DataFrame) -> DataFrame:
-    """Distinct (video, tag) pairs of the staged rows."""
-    return staging.select("video_id", F.explode("video_tags").alias("tag_name")).distinct()
+    """Distinct (video, tag) pairs of the staged rows; a NULL in a list is no tag."""
+    pairs = staging.select("video_id", F.explode("video_tags").alias("tag_name"))
+    return pairs.filter("tag_name IS NOT NULL").distinct()
+
+
+def bridge_rows(staging: DataFrame, versions: DataFrame, dim_tag: DataFrame) -> DataFrame:
+    """All links of each staged video as one row: its open version and its tags' keys.
+
+    One row replaces whatever links a video had, so nothing has to be looked up
+    or removed; a video without tags has an empty list.
+    """
+    links = (
+        staged_links(staging)
+        .join(dim_tag.select("tag_name", "tag_key"), "tag_name")
+        .groupBy("video_id")
+        .agg(F.array_sort(F.collect_set("tag_key")).alias("tag_keys"))
+    )
+    open_versions = versions.filter("is_current").select("video_id", "video_key")
+    none = F.array().cast("array<bigint>")
+    return (
+        staging.select("video_id")
+        .distinct()
+        .join(open_versions, "video_id")
+        .join(links, "video_id", "left")
+        .select("video_id", "video_key", F.coalesce("tag_keys", none).alias("tag_keys"))
+    )
+
+
+def bridge_links(rows: DataFrame) -> DataFrame:
+    """The bridge itself: one (video_key, tag_key) per link."""
+    return rows.select("video_key", F.explode("tag_keys").alias("tag_key"))
 
 
 def bridge_refresh(

@@ -55,6 +55,15 @@ def scd1_upsert(
     return kept.unionByName(fresh.select(*dim.columns))
 
 
+def scd1_changes(
+    dim: DataFrame, batch: DataFrame, keys: list[str], attrs: list[str], key: str, start: int = 0
+) -> DataFrame:
+    """The rows of ``scd1_upsert`` that are new or changed, and no others."""
+    updated = update_from_join(dim, batch, keys, attrs).filter("was_updated").drop("was_updated")
+    fresh = batch.select(*keys, *attrs).join(dim.select(*keys), keys, "left_anti")
+    return updated.unionByName(number_rows(fresh, keys, key, start).select(*dim.columns))
+
+
 def _versions(
     history: DataFrame, keys: list[str], attrs: list[str], date: str, carried: list[str]
 ) -> DataFrame:

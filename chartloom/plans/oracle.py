@@ -290,7 +290,17 @@ ON_CHART = {
     "scd2_open": f"SELECT * FROM (WITH closed AS ({CLOSED}) {OPENED}) AS o",
     "scd2_apply_batch": f"SELECT * FROM (WITH closed AS ({CLOSED}) {OPENED}) AS o",
     "scd2_from_history": f"SELECT * FROM {VIDEO_VERSIONS} AS v",
-    "bridge_refresh": f"""SELECT DISTINCT t.video_id, v.video_title, t.tag AS tag_name
+    "bridge_refresh": f"""
+        SELECT l.video_id, v.video_title, l.tag_name
+        FROM (SELECT DISTINCT video_id, unnest(list_append(string_split(video_tags, ' ')[2:], region_code)) AS tag_name
+              FROM chart WHERE ingest_date = DATE '{RETITLE_DAY}'
+              UNION ALL
+              SELECT DISTINCT video_id, tag FROM tags
+              WHERE ingest_date < DATE '{RETITLE_DAY}'
+                AND video_id NOT IN (SELECT video_id FROM chart WHERE ingest_date = DATE '{RETITLE_DAY}')) AS l
+        JOIN (SELECT video_id, arg_max(video_title, ingest_date) AS video_title FROM chart
+              WHERE ingest_date <= DATE '{RETITLE_DAY}' GROUP BY video_id) AS v USING (video_id)""",
+    "bridge_rows": f"""SELECT DISTINCT t.video_id, v.video_title, t.tag AS tag_name
         FROM tags AS t
         JOIN (SELECT video_id, max(ingest_date) AS last FROM chart GROUP BY video_id) AS l
           ON l.video_id = t.video_id AND l.last = t.ingest_date

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chartloom.functions import iso_text
 from chartloom.operators import (
+    bridge,
     calendar,
     checks,
     clean,
@@ -29,7 +30,7 @@ from chartloom.operators.scope import available_dates, scope_filter
 from chartloom.plans import testbed as tb
 from chartloom.plans.warehouse import Warehouse, unprocessed_batches
 from chartloom.schemas import FLAT_COLUMNS, FLAT_LINE, RAW_VIDEO
-from chartloom.session import configure, scratch_path
+from chartloom.session import configure, materialize, scratch_path
 from chartloom.sources import files, manifests
 from chartloom.streaming import manifests as stream
 
@@ -418,6 +419,31 @@ def _(spark, sf_dir):
 
 
 @query("bridge_refresh")
+def _(spark, sf_dir):
+    # on the day of new titles each video also loses its first tag and gets its region as one
+    rows = tb.chart(spark, sf_dir)
+    early = until(rows, RETITLE_DAY, strictly=True)
+    size = F.greatest(F.size("video_tags") - 1, F.lit(0))
+    retagged = day_of(rows, RETITLE_DAY).withColumn(
+        "video_tags", F.array_append(F.slice("video_tags", 2, size), F.col("region_code"))
+    )
+    tag = F.explode("video_tags").alias("tag_name")
+    names = early.select(tag).unionByName(retagged.select(tag)).distinct()
+    tags = materialize(keys.number_rows(names, ["tag_name"], "tag_key"), "tags")
+    numbered = keys.number_rows(before_retitle(rows), ["video_id", "valid_from"], "video_key")
+    dim = materialize(numbered, "videos")
+    none = spark.createDataFrame([], "video_key bigint, tag_key bigint")
+    links = bridge.bridge_refresh(none, early, dim, tags)
+    moved = scd.scd2_apply_batch(dim, retagged, *_VIDEO, RETITLE_DAY, "video_key")
+    return (
+        bridge.bridge_refresh(links, retagged, moved, tags)
+        .join(moved, "video_key")
+        .join(tags, "tag_key")
+        .select("video_id", "video_title", "tag_name")
+    )
+
+
+@query("bridge_rows")
 def _(spark, sf_dir):
     house = tb.warehouse(spark, sf_dir)
     return (

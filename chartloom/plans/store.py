@@ -29,7 +29,8 @@ from pyspark.sql.utils import AnalysisException
 
 COMMIT = (
     "version int, dates array<string>, tables map<string,array<string>>,"
-    " facts map<string,string>, high map<string,bigint>, ledger array<string>"
+    " facts map<string,string>, high map<string,bigint>, ledger array<string>,"
+    " rows map<string,bigint>"
 )
 
 
@@ -41,10 +42,11 @@ class CommitConflict(RuntimeError):
 class Commit:
     """One published state.
 
-    ``tables`` maps a table to its folders, ``facts`` a date to its fact
-    folder, ``high`` a dimension to its largest key, ``ledger`` is every date
-    loaded so far and ``dates`` those of this commit.  Folders are relative to
-    the warehouse, so a copy of it stands on its own.
+    ``tables`` maps a table to its folders, the oldest first, and ``rows`` a
+    folder to its number of rows; ``facts`` maps a date to its fact folder,
+    ``high`` a dimension to its largest key, ``ledger`` is every date loaded so
+    far and ``dates`` those of this commit.  Folders are relative to the
+    warehouse, so a copy of it stands on its own.
     """
 
     version: int = 0
@@ -53,6 +55,7 @@ class Commit:
     facts: dict[str, str] = field(default_factory=dict)
     high: dict[str, int] = field(default_factory=dict)
     ledger: list[str] = field(default_factory=list)
+    rows: dict[str, int] = field(default_factory=dict)
 
     def newest_date(self) -> str | None:
         return max(self.ledger, default=None)
@@ -87,7 +90,8 @@ class Store:
         if len(records) != 1:
             raise CommitConflict(f"commit {newest} has {len(records)} records or more, not one")
         row = records[0]
-        return Commit(**{name: row[name] for name in Commit.__dataclass_fields__})
+        # a record written before a field existed leaves it at its default
+        return Commit(**{name: row[name] for name in Commit.__dataclass_fields__ if row[name] is not None})
 
     def at(self, folder: str) -> str:
         return f"{self.root}/{folder}"
@@ -105,12 +109,10 @@ class Store:
     def read(self, folder: str, schema: str | T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(self.at(folder))
 
-    def load(self, commit: Commit, table: str, schema: str) -> DataFrame:
-        """A table of a commit, empty if it has no folder yet."""
-        paths = [self.at(folder) for folder in commit.tables.get(table, [])]
-        if not paths:
-            return empty_table(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+    def layers(self, commit: Commit, table: str, schema: str) -> list[DataFrame]:
+        """The folders of a table in a commit, the oldest first; one without rows if it has none yet."""
+        folders = commit.tables.get(table, [])
+        return [self.read(folder, schema) for folder in folders] or [empty_table(self.spark, schema)]
 
     def fact(self, commit: Commit, schema: str) -> DataFrame:
         """The dated folders of a commit as one table, partitioned by ``ingest_date``."""

@@ -18,17 +18,18 @@ from pyspark.sql import functions as F
 
 from chartloom.functions import iso_instant
 from chartloom.operators import checks
-from chartloom.operators.bridge import bridge_refresh
+from chartloom.operators.bridge import bridge_links, bridge_rows
 from chartloom.operators.calendar import absent_tags, calendar_dim, insert_absent
 from chartloom.operators.fact import build_fact
 from chartloom.operators.keys import highest_key, number_rows
-from chartloom.operators.scd import OutOfOrderBatch, scd1_upsert, scd2_advance
+from chartloom.operators.scd import OutOfOrderBatch, scd1_changes, scd2_advance
+from chartloom.plans.layers import all_rows, merge_from, newest_rows, rows_of_keys
 from chartloom.plans.store import Commit, Store
 
 CATEGORY = "category_key bigint, category_id string, category_name string"
 REGION = "region_key bigint, region_code string, region_name string"
 TAG = "tag_key bigint, tag_name string"
-BRIDGE = "video_key bigint, tag_key bigint"
+BRIDGE = "video_id string, video_key bigint, tag_keys array<bigint>"
 _PERIOD = "valid_from date, valid_to date, is_current boolean"
 CHANNEL = f"channel_key bigint, channel_id string, channel_title string, {_PERIOD}"
 VIDEO = (
@@ -46,6 +47,15 @@ SCHEMAS = {
     "dim_video_open": VIDEO,
     "dim_video_closed": VIDEO,
 }
+# Tables in which a newer row of a key replaces an older one; the others only grow.
+KEYS = {
+    "dim_category": ["category_id"],
+    "dim_channel_open": ["channel_id"],
+    "dim_video_open": ["video_id"],
+    "bridge": ["video_id"],
+}
+# Ids of a load that may be broadcast, some 10 MB; more of them join by shuffle.
+BROADCAST_IDS = 200_000
 FACT = (
     "fact_key bigint, video_key bigint, channel_key bigint, category_key bigint,"
     " region_key bigint, date_key int, video_id string, region_code string,"
@@ -89,8 +99,7 @@ class Warehouse:
     def table(self, name: str, commit: Commit | None = None) -> DataFrame:
         """A dimension or the bridge; type-2 dimensions with all versions.
 
-        Open and closed versions are separate folders, so a daily load reads
-        and rewrites open ones only and appends the ones it closes.
+        Open and closed versions lie apart: a load meets open ones only.
         """
         if name == "dim_date":
             return calendar_dim(self.spark, *self.calendar)
@@ -99,7 +108,8 @@ class Warehouse:
             return self._part(commit, f"{name}_open").unionByName(
                 self._part(commit, f"{name}_closed")
             )
-        return self._part(commit, name)
+        rows = self._part(commit, name)
+        return bridge_links(rows) if name == "bridge" else rows
 
     def fact(self) -> DataFrame:
         """The fact over all loaded dates; a filter on ``ingest_date`` prunes."""
@@ -112,8 +122,12 @@ class Warehouse:
             F.col("ingest_date").cast("date")
         )
 
+    def _layers(self, commit: Commit, name: str) -> list[DataFrame]:
+        return self.store.layers(commit, name, SCHEMAS[name])
+
     def _part(self, commit: Commit, name: str) -> DataFrame:
-        return self.store.load(commit, name, SCHEMAS[name])
+        layers = self._layers(commit, name)
+        return newest_rows(layers, KEYS[name]) if name in KEYS else all_rows(layers)
 
     # -- loading ---------------------------------------------------------
 
@@ -187,6 +201,7 @@ class Warehouse:
             facts=dict(head.facts),
             high=dict(head.high),
             ledger=sorted({*head.ledger, *days}),
+            rows=dict(head.rows),
         )
         _, channel, video = self._together(
             lambda: self._load_type1(head, new, staged, dated),
@@ -197,11 +212,15 @@ class Warehouse:
         )
         # The bridge needs both the versions and the tags of these days.
         last = self._last_rows(staged) if len(days) > 1 else staged
-        _, fact = self._together(
-            lambda: self._load_bridge(head, new, last, video),
+        # of the tags, those of these days
+        named = staged.select(F.explode("video_tags").alias("tag_name")).distinct()
+        tag = self._part(new, "dim_tag").join(named, "tag_name", "left_semi")
+        bridge, fact = self._together(
+            lambda: self._load_bridge(new, last, video, tag),
             lambda: self._load_fact(new, staged, video, channel),
         )
-        checks.enforce(self._quality(new, staged, last, fact, video, channel))
+        checks.enforce(self._quality(new, staged, last, fact, video, channel, bridge, tag))
+        self._compact(new)
         return store.publish(new)
 
     def _together(self, *steps: Callable[[], object]) -> list:
@@ -220,8 +239,37 @@ class Warehouse:
         last = staged.groupBy("video_id").agg(F.max("ingest_date").alias("ingest_date"))
         return staged.join(last, ["video_id", "ingest_date"], "left_semi")
 
-    def _put(self, new: Commit, name: str, df: DataFrame) -> None:
-        new.tables[name] = [self.store.write(df, name, new.version)]
+    def _add(self, new: Commit, name: str, folder: str, rows: int) -> None:
+        """Lay a folder over a table; an empty one is left out."""
+        if rows:
+            new.tables[name] = [*new.tables.get(name, []), folder]
+            new.rows[folder] = rows
+
+    def _put(self, new: Commit, name: str, df: DataFrame) -> DataFrame:
+        """Write rows of these days as a layer, and return them as written."""
+        folder = self.store.write(df, name, new.version)
+        written = self.store.read(folder, SCHEMAS[name])
+        self._add(new, name, folder, written.count())  # from file footers
+        return written
+
+    def _compact(self, new: Commit) -> None:
+        """Merge layers whose rows are outweighed by newer ones."""
+        for name, folders in list(new.tables.items()):
+            first = merge_from([new.rows.get(folder, 0) for folder in folders])
+            if first is None:
+                continue
+            kept = folders[:first]
+            layers = self._layers(replace(new, tables={name: folders[first:]}), name)
+            new.tables[name] = kept
+            self._put(new, name, newest_rows(layers, KEYS[name]) if name in KEYS else all_rows(layers))
+        named = {folder for folders in new.tables.values() for folder in folders}
+        new.rows = {folder: n for folder, n in new.rows.items() if folder in named}
+
+    def _ids(self, dated: DataFrame, name: str, version: int) -> DataFrame:
+        """The ids of these days, written, and marked for broadcast if they are few."""
+        ids = dated.select(name).distinct()
+        written = self.store.read(self.store.write(ids, f"{name}s", version), ids.schema)
+        return F.broadcast(written) if written.count() <= BROADCAST_IDS else written
 
     def _load_type1(
         self, head: Commit, new: Commit, staged: DataFrame, dated: DataFrame
@@ -231,26 +279,19 @@ class Warehouse:
         names = seen.groupBy("category_id").agg(
             F.max_by("category_name", "ingest_date").alias("category_name")
         )
-        self._put(
-            new,
-            "dim_category",
-            scd1_upsert(
-                self._part(head, "dim_category"),
-                names,
-                ["category_id"],
-                ["category_name"],
-                "category_key",
-                head.high.get("dim_category", 0),
-            ),
+        known = rows_of_keys(
+            self._layers(head, "dim_category"), ["category_id"], names.select("category_id")
+        )
+        changes = scd1_changes(
+            known, names, ["category_id"], ["category_name"], "category_key", head.high.get("dim_category", 0)
         )
         # tags are never changed, so only the new ones are written
         fresh = absent_tags(
             self._part(head, "dim_tag"), staged, head.high.get("dim_tag", 0)
         )
-        self._put(new, "dim_tag", fresh)
-        for name, key in (("dim_category", "category_key"), ("dim_tag", "tag_key")):
-            new.high[name] = max(head.high.get(name, 0), highest_key(self._part(new, name), key))
-        new.tables["dim_tag"] = [*head.tables.get("dim_tag", []), *new.tables["dim_tag"]]
+        for name, key, rows in (("dim_category", "category_key", changes), ("dim_tag", "tag_key", fresh)):
+            written = self._put(new, name, rows)
+            new.high[name] = max(head.high.get(name, 0), highest_key(written, key))
         if "dim_region" not in head.tables:
             seeds = [(i, c, n) for i, (c, n) in enumerate(self.regions, start=1)]
             rows = self.spark.createDataFrame(seeds, REGION)
@@ -263,15 +304,16 @@ class Warehouse:
     def _load_type2(
         self, head: Commit, new: Commit, dated: DataFrame, entity: str, attrs: list[str]
     ) -> DataFrame:
-        """Advance a versioned dimension; returns the versions this load has read or made.
+        """Advance a versioned dimension; returns the versions of these days' ids.
 
-        Those are all a load ever needs: versions closed earlier end on or
-        before its first day.
+        Those that are open or were closed in these days, that is: all a load
+        ever needs, as versions closed earlier end on or before its first day.
         """
         name, key, natural = f"dim_{entity}", f"{entity}_key", f"{entity}_id"
-        moved = scd2_advance(
-            self._part(head, f"{name}_open"), dated, [natural], attrs, "ingest_date", key
+        open_now = rows_of_keys(
+            self._layers(head, f"{name}_open"), [natural], self._ids(dated, natural, new.version)
         )
+        moved = scd2_advance(open_now, dated, [natural], attrs, "ingest_date", key)
         # written before numbering, which reads it twice
         unkeyed = self.store.read(
             self.store.write(moved, f"{name}_unkeyed", new.version), moved.schema
@@ -293,32 +335,17 @@ class Warehouse:
             by="state",
         )
         versions = self.store.read(folder, f"{SCHEMAS[f'{name}_open']}, state string")
-        totals = versions.agg(F.max(key), F.max("is_current"), F.min("is_current")).first()
-        if totals[1]:
-            new.tables[f"{name}_open"] = [f"{folder}/state=open"]
-        if totals[2] is False:
-            new.tables[f"{name}_closed"] = [
-                *head.tables.get(f"{name}_closed", []), f"{folder}/state=closed"
-            ]
-        new.high[name] = max(head.high.get(name, 0), totals[0] or 0)
+        is_open = F.when(F.col("is_current"), 1)
+        highest, rows, opens = versions.agg(F.max(key), F.count(F.lit(1)), F.count(is_open)).first()
+        self._add(new, f"{name}_open", f"{folder}/state=open", opens)
+        self._add(new, f"{name}_closed", f"{folder}/state=closed", rows - opens)
+        new.high[name] = max(head.high.get(name, 0), highest or 0)
         return versions.drop("state")
 
     def _load_bridge(
-        self, head: Commit, new: Commit, last: DataFrame, video: DataFrame
-    ) -> None:
-        # Versions open before the load count as links to remove, even one that a
-        # rerun of its first day has just dropped.
-        before = self._part(head, "dim_video_open").withColumn("is_current", F.lit(False))
-        self._put(
-            new,
-            "bridge",
-            bridge_refresh(
-                self._part(head, "bridge"),
-                last,
-                video.unionByName(before),
-                self._part(new, "dim_tag"),
-            ),
-        )
+        self, new: Commit, last: DataFrame, video: DataFrame, tag: DataFrame
+    ) -> DataFrame:
+        return bridge_links(self._put(new, "bridge", bridge_rows(last, video, tag)))
 
     def _load_fact(
         self, new: Commit, staged: DataFrame, video: DataFrame, channel: DataFrame
@@ -367,13 +394,14 @@ class Warehouse:
         fact: DataFrame,
         video: DataFrame,
         channel: DataFrame,
+        bridge: DataFrame,
+        tag: DataFrame,
     ) -> list[DataFrame]:
         """What must hold of a load before it is published.
 
-        ``video`` and ``channel`` are the versions of this load; the ones
-        closed before were checked by the load that closed them.
+        All tables are those of the loaded days: their ids' versions, links and
+        tags.  What else the warehouse holds was checked by the load that wrote it.
         """
-        tag, bridge = self._part(new, "dim_tag"), self._part(new, "bridge")
         fk = checks.check_foreign_keys
         keys = ["video_key", "channel_key", "category_key", "region_key", "date_key"]
         return [
