@@ -6,12 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Sketch size used to bracket a median, and how far from it the bracket lies.
-# A sketch is off by less than 1 / MEDIAN_SKETCH of the rows, so the bracket
-# holds the median whatever the number of rows.
-MEDIAN_SKETCH = 1000
-MEDIAN_REACH = 2 / MEDIAN_SKETCH
+# A median is found by this many bits of its value at a time, the high ones first.
+MEDIAN_SHIFTS = (40, 20, 0)
 
 
 def rate(part: Column, whole: Column) -> Column:
@@ -24,41 +22,44 @@ def percent(part: Column, whole: Column, digits: int) -> Column:
 
 
 def lower_median(rows: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
-    """Per group the exact lower median of a column: an element, never interpolated.
-
-    Sketches bracket it first.  Then the values below the bracket are only
-    counted, and running totals over the distinct values inside it, a small
-    share of the group, find the element.  NULLs do not count; a group without
-    a value has no row.
+    """Per group the exact lower median of an integral column: an element, never interpolated.
+
+    The rows are read once and counted per distinct value.  Each pass then sums
+    these counts by the leading bits of the values that are left, walks the sums
+    of a group in order to the one that holds the middle row, and leaves the
+    values with these bits.  A group has at most 2 ** 24 different bits in the
+    first pass and 2 ** 20 in the others, whatever its size, so no task holds
+    more of it.  NULLs do not count; a group without a value has no row.
     """
-    present = rows.select(*by, F.col(value).alias("_value")).filter("_value is not null")
-    if not by:
-        # one key for all rows, so that the bracket joins by hash
-        return lower_median(
-            present.withColumn("_all", F.when(F.col("_value").isNotNull(), 0)), ["_all"], "_value", name
-        ).select(name)
-    ends = present.groupBy(*by).agg(
-        F.count("*").alias("_n"),
-        F.percentile_approx("_value", 0.5 - MEDIAN_REACH, MEDIAN_SKETCH).alias("_low"),
-        F.percentile_approx("_value", 0.5 + MEDIAN_REACH, MEDIAN_SKETCH).alias("_high"),
-    )
-    right = ends.select(*(F.col(c).alias(f"_by_{c}") for c in by), "_n", "_low", "_high")
-    match = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by))
-    # a row below its bracket is counted under NULL
-    held = F.when(F.col("_value") >= F.col("_low"), F.col("_value"))
-    counts = (
-        present.join(right, match)
-        .filter("_value <= _high")
-        .groupBy(*by, held.alias("_held"))
-        .agg(F.count("*").alias("_times"), F.first("_n").alias("_n"))
-    )
-    so_far = F.sum("_times").over(
-        Window.partitionBy(*by)
-        .orderBy(F.asc_nulls_first("_held"))
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    passed = counts.select(*by, "_held", (2 * so_far >= F.col("_n")).alias("_passed"))
-    return passed.filter("_passed").groupBy(*by).agg(F.min("_held").alias(name))
+    kind = rows.schema[value].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"the median of {value} needs integers, not {kind.simpleString()}")
+    present = rows.select(*by, F.col(value).cast("bigint").alias("_value")).filter("_value is not null")
+    counts = present.groupBy(*by, "_value").agg(F.count("*").alias("_times"))
+    group = Window.partitionBy(*by)
+    found = None
+    for shift in MEDIAN_SHIFTS:
+        bits = F.shiftright("_value", shift).alias("_bits")
+        if found is None:
+            sums = counts.groupBy(*by, bits).agg(F.sum("_times").alias("_times"))
+            # the middle row, counted from 1
+            sums = sums.withColumn("_rank", F.expr("(sum(_times) OVER (PARTITION BY %s) + 1) div 2" % _names(by)))
+        else:
+            held = found.select(*(F.col(c).alias(f"_by_{c}") for c in by), F.col("_bits").alias("_held"), "_rank")
+            same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+            match = reduce(lambda a, b: a & b, same, F.shiftright("_value", before).eqNullSafe(F.col("_held")))
+            left = counts.join(held, match)
+            sums = left.groupBy(*by, bits).agg(F.sum("_times").alias("_times"), F.first("_rank").alias("_rank"))
+        upto = F.sum("_times").over(group.orderBy("_bits").rowsBetween(Window.unboundedPreceding, 0))
+        walked = sums.withColumn("_upto", upto)
+        middle = walked.filter("_upto >= _rank AND _upto - _times < _rank")
+        found = middle.select(*by, "_bits", (F.col("_rank") - F.col("_upto") + F.col("_times")).alias("_rank"))
+        before = shift
+    return found.select(*by, F.col("_bits").cast(kind).alias(name))
+
+
+def _names(by: list[str]) -> str:
+    return ", ".join(f"`{c}`" for c in by) or "1"
 
 
 def with_median(figures: DataFrame, medians: DataFrame, by: list[str], name: str) -> DataFrame:

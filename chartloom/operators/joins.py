@@ -18,6 +18,7 @@ def validity_join(
     take: list[str],
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
+    how: str = "inner",
 ) -> DataFrame:
     """Each fact with the dimension version valid on its date.
 
@@ -37,7 +38,7 @@ def validity_join(
         (F.col("_v_from") <= F.col(date))
         & (F.col("_v_to").isNull() | (F.col("_v_to") > F.col(date))),
     )
-    return facts.join(versions, condition).drop(*[f"_v_{k}" for k in keys], "_v_from", "_v_to")
+    return facts.join(versions, condition, how).drop(*[f"_v_{k}" for k in keys], "_v_from", "_v_to")
 
 
 def seen_today(df: DataFrame, staging: DataFrame, key: str) -> DataFrame:

@@ -146,11 +146,16 @@ def lookup_unmatched(
 
 
 def dim_key_resolve(
-    facts: DataFrame, dim: DataFrame, natural_key: str, key: str, fact_key: str | None = None
+    facts: DataFrame,
+    dim: DataFrame,
+    natural_key: str,
+    key: str,
+    fact_key: str | None = None,
+    how: str = "inner",
 ) -> DataFrame:
-    """Add a dimension's surrogate key by natural key; unmatched rows drop out."""
+    """Add a dimension's surrogate key by natural key; unmatched rows drop out, or have none in a left join."""
     small = dim.select(F.col(natural_key).alias("_nk"), key)
-    return facts.join(small, F.col(fact_key or natural_key) == F.col("_nk")).drop("_nk")
+    return facts.join(small, F.col(fact_key or natural_key) == F.col("_nk"), how).drop("_nk")
 
 
 def region_names(df: DataFrame, dim_region: DataFrame, region: str = "region_code") -> DataFrame:

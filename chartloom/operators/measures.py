@@ -53,21 +53,23 @@ def dedup_region_sum(
 def tag_fanout_safe(
     df: DataFrame, measure: str = "view_count", cols: ChartColumns = CHART
 ) -> DataFrame:
-    """Per tag the entities carrying it and their counter, each entity once per tag.
+    """Per date and tag the entities carrying it and their counter, each entity once per tag.
 
-    The row with a NULL tag is the grand total before the fan-out, which the
-    tag rows exceed by design.  Rows should be of one day.
+    The row with a NULL tag is the date's grand total before the fan-out, which
+    the tag rows exceed by design.  One read: the rows of an entity and day
+    meet once, and what comes out feeds its tags and the total alike.
     """
-    once = df.groupBy(cols.entity).agg(F.max(measure).alias("_once"))
-    links = df.select(cols.entity, F.explode(cols.tags).alias("tag")).distinct()
-    by_tag = (
-        links.filter(F.col("tag").isNotNull())
-        .join(once, cols.entity)
-        .groupBy("tag")
+    once = df.groupBy(cols.date, cols.entity).agg(
+        F.max(measure).alias("_once"), F.collect_set(cols.tags).alias("_lists")
+    )
+    # a NULL in a list is no tag
+    tags = F.filter(F.array_distinct(F.flatten("_lists")), lambda tag: tag.isNotNull())
+    total = F.array(F.lit(None).cast("string"))
+    return (
+        once.select(cols.date, "_once", F.explode(F.concat(tags, total)).alias("tag"))
+        .groupBy(cols.date, "tag")
         .agg(F.count(F.lit(1)).alias("videos"), F.sum("_once").alias("total"))
     )
-    grand = once.agg(F.count(F.lit(1)).alias("videos"), F.sum("_once").alias("total"))
-    return by_tag.unionByName(grand.withColumn("tag", F.lit(None).cast("string")))
 
 
 def retitle_effect(

@@ -50,7 +50,7 @@ def list_positions(
     )
     inside = Window.partitionBy(part, *by).orderBy(*order)
     position = F.row_number().over(inside) + F.coalesce("_shift", F.lit(0))
-    return shifted.select(*df.columns, position.cast("int").alias(out))
+    return shifted.select(*df.columns, position.cast("bigint").alias(out))
 
 
 def running_offsets(

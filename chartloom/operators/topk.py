@@ -38,7 +38,7 @@ def rank_groups(
         return list_positions(grouped, [], order, out)
     # k rows by construction, so the global window is small
     first = grouped.orderBy(*order).limit(k)
-    return first.withColumn(out, F.row_number().over(Window.orderBy(*order)))
+    return first.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
 def share_of(grouped: DataFrame, n: str, part: list[str], digits: int = 1) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chartloom.plans.testbed import CATEGORY, DAY, FETCHES, MIN_VIEWS, PAGE_SIZE, REGIONS
+from chartloom.plans.testbed import CATEGORY, DAY, EARLY_DAY, FETCHES, MIN_VIEWS, PAGE_SIZE, REGIONS
 
 RETITLE_DAY = "2024-01-16"
 
@@ -216,6 +216,14 @@ def matrix(pairs: str, value: str) -> str:
 
 _FLAT_ALL = f"SELECT {FLAT} FROM chart"
 
+# Each video once a day, whatever its regions.
+ONCE = "(SELECT ingest_date, video_id, max(view_count) AS once FROM chart GROUP BY ALL)"
+
+# The first dimension that lacks a row, in tables that were thinned out for it.
+MARKED = """SELECT *, CASE WHEN CAST(video_id AS BIGINT) % 11 = 0 THEN 'video'
+    WHEN channel_title LIKE '%TV' THEN 'channel' WHEN category_id = 'PROMO' THEN 'category'
+    WHEN region_code = 'view' THEN 'region' WHEN ingest_date < DATE '2024-01-05' THEN 'date' END AS missing FROM chart"""
+
 # Over the chart; each gets the CTEs above in front.
 ON_CHART = {
     "scan_ndjson": _FLAT_ALL,
@@ -267,7 +275,7 @@ ON_CHART = {
         WHERE video_id IN (SELECT video_id FROM day)""",
     "anti_not_exists": f"""SELECT DISTINCT video_id, video_title FROM day AS t
         WHERE NOT EXISTS (SELECT 1 FROM chart AS c
-                          WHERE c.video_id = t.video_id AND c.ingest_date < DATE '{DAY}')""",
+                          WHERE c.video_id = t.video_id AND c.ingest_date = DATE '{DAY}' - 1)""",
     "left_join_previous_day": SEEN,
     "join_top_groups": f"""SELECT video_id, region_code, ingest_date, category_name FROM chart
         WHERE category_name IN {TOP5.format('chart')}""",
@@ -371,7 +379,7 @@ ON_CHART = {
     "avg_daily_overlap": AVG_PAIRS,
     "staying_power": STAYING,
     "one_day_share": f"""SELECT 100::DOUBLE * sum(CASE WHEN days = 1 THEN videos END) / sum(videos)
-        AS one_day_pct FROM ({STAYING}) AS s HAVING sum(CASE WHEN days = 1 THEN videos END) IS NOT NULL""",
+        AS one_day_pct FROM ({STAYING.replace('FROM chart', f"FROM chart WHERE ingest_date <= DATE '{EARLY_DAY}'")}) AS s HAVING sum(CASE WHEN days = 1 THEN videos END) IS NOT NULL""",
     "persistent_channels": """SELECT channel_title, count(DISTINCT ingest_date) AS days,
         count(DISTINCT video_id) AS videos, count(*) AS appearances
         FROM chart GROUP BY channel_title
@@ -390,13 +398,11 @@ ON_CHART = {
         CAST(sum(once) AS BIGINT) AS total
         FROM (SELECT ingest_date, video_id, max(view_count) AS once FROM chart GROUP BY ALL) AS d
         GROUP BY ingest_date""",
-    "tag_fanout_safe": f"""SELECT tag, count(*) AS videos, CAST(sum(once) AS BIGINT) AS total
-        FROM (SELECT DISTINCT video_id, tag FROM tags WHERE ingest_date = DATE '{DAY}') AS t
-        JOIN (SELECT video_id, max(view_count) AS once FROM day GROUP BY video_id) AS o USING (video_id)
-        GROUP BY tag
+    "tag_fanout_safe": f"""SELECT ingest_date, tag, count(*) AS videos, CAST(sum(once) AS BIGINT) AS total
+        FROM (SELECT DISTINCT ingest_date, video_id, tag FROM tags) AS t JOIN {ONCE} AS o USING (ingest_date, video_id)
+        GROUP BY ingest_date, tag
         UNION ALL
-        SELECT NULL, count(*), CAST(sum(once) AS BIGINT)
-        FROM (SELECT video_id, max(view_count) AS once FROM day GROUP BY video_id) AS o""",
+        SELECT ingest_date, NULL, count(*), CAST(sum(once) AS BIGINT) FROM {ONCE} AS o GROUP BY ingest_date""",
     "retitle_effect": f"""SELECT video_id, version_no, valid_from, video_title, days, avg_value,
         best_rank, avg_change
         FROM (SELECT *, count(*) OVER (PARTITION BY video_id) AS n,
@@ -413,7 +419,7 @@ ON_CHART = {
               WINDOW w AS (PARTITION BY video_id ORDER BY valid_from)) AS r
         WHERE n > 1""",
     "rank_groups_global": """SELECT channel_title, count(*) AS appearances,
-        CAST(row_number() OVER (ORDER BY count(*) DESC, channel_title) AS INTEGER) AS rn
+        row_number() OVER (ORDER BY count(*) DESC, channel_title) AS rn
         FROM chart GROUP BY channel_title""",
     "share_of_partition": """SELECT region_code, category_name, count(*) AS videos,
         round(100::DOUBLE * count(*) / sum(count(*)) OVER (PARTITION BY region_code), 1) AS pct
@@ -454,6 +460,12 @@ ON_CHART = {
     "check_not_null": check(
         "not_null", "SELECT count(*) FROM chart WHERE like_count IS NULL OR comment_count IS NULL"
     ),
+    "check_row_reconciliation_broken": check(
+        "row_reconciliation",
+        f"SELECT count(*) FROM ({MARKED}) AS m WHERE missing IS NULL",
+        "SELECT count(*) FROM chart",
+    ),
+    "rejected_rows": f"SELECT video_id, region_code, ingest_date, missing FROM ({MARKED}) AS m WHERE missing IS NOT NULL",
     "check_foreign_keys": check(
         "foreign_key", "SELECT count(DISTINCT category_id) FROM chart WHERE category_id = 'PROMO'"
     ),

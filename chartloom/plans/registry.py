@@ -14,6 +14,7 @@ from chartloom.operators import (
     checks,
     clean,
     engagement,
+    fact,
     history,
     joins,
     keys,
@@ -116,10 +117,9 @@ def _(spark, sf_dir):
 
 @query("raw_landing")
 def _(spark, sf_dir):
-    text = lambda name: F.get_json_object("data", f"$.{name}").alias(name)
-    return tb.landed(spark, sf_dir).select(
-        text("video_id"), text("region_code"), text("view_count"), "ingest_date"
-    )
+    names = ["video_id", "region_code", "view_count"]
+    line = F.from_json("data", ", ".join(f"{name} string" for name in names)).alias("line")
+    return tb.landed(spark, sf_dir).select(line, "ingest_date").select("line.*", "ingest_date")
 
 
 @query("sink_ndjson")
@@ -272,9 +272,9 @@ def _(spark, sf_dir):
 @query("anti_not_exists")
 def _(spark, sf_dir):
     rows = tb.chart(spark, sf_dir)
-    known = scd.scd2_from_history(
-        until(rows, tb.DAY, strictly=True), ["video_id"], ["video_title"], "ingest_date"
-    )
+    # versions of the day before alone, so that some videos have none
+    before = rows.filter(F.col("ingest_date") == F.date_sub(F.lit(tb.DAY).cast("date"), 1))
+    known = video_versions(before)
     batch = day_of(rows, tb.DAY).select("video_id", "video_title").distinct()
     return joins.without_current(batch, known, ["video_id"])
 
@@ -542,7 +542,10 @@ on_chart("daily_totals", lambda c: history.daily_totals(c, tb.ALL_DAYS))
 on_chart("category_share", lambda c: mix.category_share(c, tb.ALL_DAYS, tb.CATEGORY))
 on_chart("avg_daily_overlap", lambda c: overlap.avg_daily_overlap(c, tb.ALL_DAYS))
 on_chart("staying_power", lambda c: history.staying_power(c, tb.ALL_DAYS))
-on_chart("one_day_share", lambda c: history.one_day_share(history.staying_power(c, tb.ALL_DAYS)))
+on_chart(
+    "one_day_share",
+    lambda c: history.one_day_share(history.staying_power(until(c, tb.EARLY_DAY), tb.ALL_DAYS)),
+)
 on_chart("persistent_channels", lambda c: engagement.persistent_channels(c, tb.ALL_DAYS))
 on_chart("daily_churn", lambda c: history.daily_churn(c, tb.ALL_DAYS))
 on_chart("avg_turnover", lambda c: history.avg_turnover(history.daily_churn(c, tb.ALL_DAYS)))
@@ -555,7 +558,7 @@ on_chart(
 )
 on_chart("counter_delta", measures.counter_delta)
 on_chart("dedup_region_sum", measures.dedup_region_sum)
-on_chart("tag_fanout_safe", lambda c: measures.tag_fanout_safe(scope_filter(c, tb.ONE_DAY)))
+on_chart("tag_fanout_safe", measures.tag_fanout_safe)
 on_chart("retitle_effect", lambda c: measures.retitle_effect(c, video_versions(c)))
 
 # -- windows, ranking, reshaping ------------------------------------------
@@ -595,12 +598,15 @@ on_chart(
         5,
     ),
 )
-on_chart(
-    "union_regions",
-    lambda c: reshape.union_regions([c.filter(F.col("region_code") == r) for r in tb.REGIONS])
-    .groupBy("region_code")
-    .agg(F.count(F.lit(1)).alias("row_count"), F.sum("view_count").alias("total_views")),
-)
+@query("union_regions")
+def _(spark, sf_dir):
+    raw = files.scan_regions(spark, f"{tb.landing_root(spark, sf_dir)}/raw", tb.REGIONS)
+    views = F.col("statistics.viewCount").cast("bigint")
+    return raw.groupBy(F.col("region").alias("region_code")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum(views).alias("total_views")
+    )
+
+
 on_chart("distinct_rows", lambda c: c.select("channel_id", "channel_title").distinct())
 on_chart(
     "overlap_matrix",
@@ -635,6 +641,29 @@ def _(spark, sf_dir):
     )
 
 
+def thinned_out(spark, sf_dir):
+    """The chart's rows met with dimensions that lack some of their rows."""
+    house = tb.warehouse(spark, sf_dir)
+    return fact.resolve_keys(
+        tb.chart(spark, sf_dir),
+        house.table("dim_video").filter("CAST(video_id AS BIGINT) % 11 <> 0"),
+        house.table("dim_channel").filter("channel_title NOT LIKE '%TV'"),
+        house.table("dim_category").filter("category_id <> 'PROMO'"),
+        house.table("dim_region").filter("region_code <> 'view'"),
+        house.table("dim_date").filter("full_date >= DATE'2024-01-05'"),
+    )
+
+
+query("rejected_rows")(lambda spark, sf_dir: fact.rejected_rows(thinned_out(spark, sf_dir)))
+
+
+@query("check_row_reconciliation_broken")
+def _(spark, sf_dir):
+    return checks.check_row_reconciliation(
+        tb.chart(spark, sf_dir), fact.fact_rows(thinned_out(spark, sf_dir))
+    )
+
+
 @query("check_single_current")
 def _(spark, sf_dir):
     return checks.check_single_current(

@@ -20,7 +20,7 @@ from chartloom.functions import iso_instant
 from chartloom.operators import checks
 from chartloom.operators.bridge import bridge_links, bridge_rows
 from chartloom.operators.calendar import absent_tags, calendar_dim, insert_absent
-from chartloom.operators.fact import build_fact
+from chartloom.operators.fact import fact_rows, rejected_rows, resolve_keys, with_fact_keys
 from chartloom.operators.keys import highest_key, number_rows
 from chartloom.operators.scd import OutOfOrderBatch, scd1_changes, scd2_advance
 from chartloom.plans.layers import all_rows, merge_from, newest_rows, rows_of_keys
@@ -217,7 +217,7 @@ class Warehouse:
         tag = self._part(new, "dim_tag").join(named, "tag_name", "left_semi")
         bridge, fact = self._together(
             lambda: self._load_bridge(new, last, video, tag),
-            lambda: self._load_fact(new, staged, video, channel),
+            lambda: self._load_fact(head, new, staged, video, channel),
         )
         checks.enforce(self._quality(new, staged, last, fact, video, channel, bridge, tag))
         self._compact(new)
@@ -348,9 +348,10 @@ class Warehouse:
         return bridge_links(self._put(new, "bridge", bridge_rows(last, video, tag)))
 
     def _load_fact(
-        self, new: Commit, staged: DataFrame, video: DataFrame, channel: DataFrame
+        self, head: Commit, new: Commit, staged: DataFrame, video: DataFrame, channel: DataFrame
     ) -> DataFrame:
-        fact = build_fact(
+        store = self.store
+        marked = resolve_keys(
             staged,
             video,
             channel,
@@ -358,11 +359,25 @@ class Warehouse:
             self._part(new, "dim_region"),
             self.table("dim_date", new),
         )
-        folder = self.store.write(
-            fact.hint("rebalance", F.col("ingest_date")), "fact", new.version, by="ingest_date"
+        # written before numbering, which reads it twice
+        resolved = store.read(store.write(marked, "resolved", new.version), marked.schema)
+        rejected = rejected_rows(resolved)
+        lost = rejected.groupBy("missing").count().orderBy("missing").collect()  # a row per dimension
+        if lost:
+            folder = store.write(rejected, "rejects", new.version)
+            counts = ", ".join(f"{row['count']} rows have no {row.missing}" for row in lost)
+            raise checks.QualityError(f"row_reconciliation: {counts}; see {store.at(folder)}")
+        again = {d: head.facts[d] for d in new.dates if d in head.facts}
+        loaded = store.fact(replace(head, facts=again), FACT) if again else None
+        numbered = with_fact_keys(fact_rows(resolved), loaded, head.high.get("fact", 0))
+        columns = store.fact(Commit(), FACT).columns
+        folder = store.write(
+            numbered.select(*columns).hint("rebalance", F.col("ingest_date")), "fact", new.version, by="ingest_date"
         )
         new.facts.update({d: f"{folder}/ingest_date={d}" for d in new.dates})
-        return self.store.read(folder, FACT)
+        fact = store.read(folder, FACT)
+        new.high["fact"] = max(head.high.get("fact", 0), highest_key(fact, "fact_key"))
+        return fact
 
     # -- gates -----------------------------------------------------------
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,14 +62,17 @@ _scratch_roots: dict[str, str] = {}
 def scratch_root(spark: SparkSession) -> str:
     """Folder for this application's written intermediates.
 
-    It lies under ``spark.checkpoint.dir`` or, where that is unset, under the
-    warehouse folder.  Every executor can reach both, so a lost executor costs
-    a re-read and nothing else.
+    It lies under ``spark.checkpoint.dir``, which every executor can reach, so
+    a lost executor costs a re-read and nothing else.  Where that is unset, a
+    session of one process takes the warehouse folder, and any other one is
+    refused: the warehouse folder may be the driver's own.
     """
     app = spark.sparkContext.applicationId
     if app not in _scratch_roots:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if not shared:
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
             shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
         _scratch_roots[app] = f"{shared.rstrip('/')}/chartloom-{app}-{uuid.uuid4().hex[:8]}"
     return _scratch_roots[app]

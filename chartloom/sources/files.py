@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartloom.operators.lookups import AbsentLookup, lookup_union_last, lookup_versions
-from chartloom.schemas import CATEGORY_LOOKUP, FLAT_TABLE
+from chartloom.schemas import CATEGORY_LOOKUP, FLAT_TABLE, RAW_VIDEO
 
 
 def scan_ndjson(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
@@ -33,6 +33,13 @@ def path_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
     )
 
 
+def scan_regions(spark: SparkSession, root: str, regions: tuple[str, ...]) -> DataFrame:
+    """Raw objects of some regions' folders in one read, with ``region`` and ``ingest_date``."""
+    schema = T.StructType([*RAW_VIDEO.fields, *T.StructType.fromDDL("region string, ingest_date date").fields])
+    folders = [f"{root}/region={region}" for region in regions]
+    return spark.read.schema(schema).option("mode", "FAILFAST").option("basePath", root).json(folders)
+
+
 def scan_flat_partitioned(
     spark: SparkSession, root: str, fmt: str = "parquet", schema: T.StructType = FLAT_TABLE
 ) -> DataFrame:

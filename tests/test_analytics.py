@@ -1,5 +1,6 @@
 """Properties of the analytic operators, and small charts with known answers."""
 
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -183,9 +184,15 @@ def test_safe_tag_totals_count_an_entity_once_per_tag(spark):
             appearance("a", "AA", video_tags=["x", "x", "y"], view_count=5),
             appearance("a", "BB", video_tags=["x"], view_count=5),
             appearance("b", "AA", video_tags=["x"], view_count=1),
+            appearance("b", "AA", "2024-03-02", video_tags=[None, "z"], view_count=9),
+            appearance("c", "AA", "2024-03-03", video_tags=[], view_count=None),
         ],
     )
-    assert as_set(measures.tag_fanout_safe(rows)) == {("x", 2, 6), ("y", 1, 5), (None, 2, 6)}
+    days = measures.tag_fanout_safe(rows)
+    later = days.filter("ingest_date > DATE'2024-03-01'")
+    assert as_set(later, "tag", "videos", "total") == {("z", 1, 9), (None, 1, 9), (None, 1, None)}
+    rows = rows.filter("ingest_date = DATE'2024-03-01'")
+    assert as_set(measures.tag_fanout_safe(rows), "tag", "videos", "total") == {("x", 2, 6), ("y", 1, 5), (None, 2, 6)}
 
 
 def test_retitle_compares_versions(spark):
@@ -309,6 +316,29 @@ def test_the_median_is_an_exact_element_at_any_size(spark, n):
     assert lower_median(rows, [], "x", "m").first().m == (n - 1) // 2
 
 
+def test_the_median_of_all_kinds_of_integers(spark):
+    rng = random.Random(4)
+    edges = [-(2**63), 2**63 - 1, 0, -1, 1, 2**40, -(2**40), 2**20 - 1, 2**20]
+    groups = [[rng.choice(edges) for _ in range(rng.randint(1, 9))] for _ in range(40)]
+    groups += [[rng.randint(-(2**k), 2**k) for _ in range(rng.randint(1, 30))] for k in range(1, 62, 3)]
+    rows = spark.createDataFrame([(g, x) for g, xs in enumerate(groups) for x in xs], "g int, x long")
+    got = {r.g: r.m for r in lower_median(rows, ["g"], "x", "m").collect()}
+    assert got == {g: sorted(xs)[(len(xs) - 1) // 2] for g, xs in enumerate(groups)}
+    small = spark.createDataFrame([(1, 3), (1, 1), (1, 2)], "g int, x int")
+    assert lower_median(small, ["g"], "x", "m").dtypes == [("g", "int"), ("m", "int")]
+    assert lower_median(small.limit(0), ["g"], "x", "m").count() == 0
+    with pytest.raises(TypeError):
+        lower_median(rows.withColumn("x", F.col("x").cast("double")), ["g"], "x", "m")
+
+
+def test_figures_take_two_reads(rows):
+    for df in (overview.overview(rows), overview.chart_size(rows)):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0]
+        assert final.count("FileScan") <= 2, final
+
+
 def test_change_counts_from_zero_after_a_day_without_the_region(spark):
     rows = chart_of(
         spark,

@@ -169,6 +169,29 @@ def test_failed_gate_publishes_nothing(spark, loaded, name, bad):
     assert state(loaded) == before
 
 
+def test_rejected_rows_are_listed(spark, loaded):
+    rows = chart_of(spark, [appearance("a", "AA", D3), appearance("d", "ZZ", D3), appearance("e", "YY", D3)])
+    with pytest.raises(QualityError, match="2 rows have no region; see ") as error:
+        loaded.run_day(rows, D3)
+    listed = spark.read.parquet(str(error.value).split("see ")[1])
+    assert as_set(listed) == {("d", "ZZ", date(D3), "region"), ("e", "YY", date(D3), "region")}
+
+
+def test_many_regions_and_early_days_have_keys(spark, tmp_path):
+    regions = [(f"R{i}", f"Region {i}") for i in range(300)]
+    house = Warehouse(spark, str(tmp_path / "house"), regions, ("1998-01-01", "1998-12-31"))
+    day = "1998-05-04"
+    rows = chart_of(spark, [appearance("a", code, day) for code, _ in regions])
+    house.run_day(rows, day)
+    before = as_set(house.fact(), "region_code", "fact_key")
+    assert sorted(k for _, k in before) == list(range(1, 301))
+    # a reload keeps the keys and hands out new ones for new rows
+    more = rows.unionByName(chart_of(spark, [appearance("b", "R7", day, regional_rank=2)]))
+    house.run_day(more, day, reprocess=True)
+    after = as_set(house.fact(), "region_code", "fact_key")
+    assert before < after and after - before == {("R7", 301)}
+
+
 def test_day_outside_the_calendar_is_caught(spark, loaded):
     with pytest.raises(QualityError, match="row_reconciliation"):
         loaded.run_day(chart_of(spark, [appearance("a", "AA", "2024-04-01")]), "2024-04-01")
