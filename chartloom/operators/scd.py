@@ -7,6 +7,7 @@ A type-2 version covers ``[valid_from, valid_to)``; the open one has
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -234,3 +235,53 @@ def scd2_apply_batch(
         .unionByName(kept.select(*dim.columns))
         .unionByName(opened.select(*dim.columns))
     )
+
+
+def scd2_repair(
+    dim: DataFrame,
+    history: DataFrame,
+    batch: DataFrame,
+    keys: list[str],
+    attrs: list[str],
+    day: str | dt.date,
+    key: str,
+    date: str = "ingest_date",
+    prefer: Column | None = None,
+) -> DataFrame:
+    """The whole dimension after a day that comes late, or again with corrections.
+
+    ``history`` has the observations of the days loaded so far, of this day too
+    if it was among them; ``batch`` replaces that day.  Only the timelines of
+    keys the day has now or had before are made anew: a version may be split,
+    begin or end elsewhere, be opened again, go, or become one with an equal
+    neighbour.  All other versions stay as they are, unread but for their key.
+    The result equals ``scd2_from_history`` over the corrected days, and a
+    version that has its start and attributes from before keeps its surrogate key.
+
+    A day newer than all others that is loaded once needs no history; see
+    ``scd2_apply_batch``.
+    """
+    on_day = F.col(date).eqNullSafe(F.lit(str(day)).cast("date"))
+    touched = materialize(
+        batch.select(*keys).unionByName(history.filter(on_day).select(*keys)).distinct(), "touched-keys"
+    )
+    others = history.filter(~on_day).join(touched, keys, "left_semi")
+    dated = batch.withColumn(date, F.lit(str(day)).cast("date"))
+    seen = _observations(others, keys, attrs, date, prefer).unionByName(
+        _observations(dated, keys, attrs, date, prefer)
+    )
+    made = _versions(seen.withColumn("_open", F.lit(False)), keys, attrs, date, [])
+    named = [*keys, *attrs, "valid_from"]
+    before = dim.join(touched, keys, "left_semi").select(F.col(key), *[F.col(c).alias(f"_old_{c}") for c in named])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in named])
+    # written before numbering, which reads it twice
+    matched = materialize(made.join(before, same, "left").select(*dim.columns), "repaired")
+    fresh = number_rows(
+        matched.filter(F.col(key).isNull()).drop(key), [*keys, "valid_from"], key, highest_key(dim, key)
+    )
+    return (
+        dim.join(touched, keys, "left_anti")
+        .select(*dim.columns)
+        .unionByName(matched.filter(F.col(key).isNotNull()))
+        .unionByName(fresh.select(*dim.columns))
+    )

@@ -297,6 +297,13 @@ ON_CHART = {
     "scd2_close": CLOSED,
     "scd2_open": f"SELECT * FROM (WITH closed AS ({CLOSED}) {OPENED}) AS o",
     "scd2_apply_batch": f"SELECT * FROM (WITH closed AS ({CLOSED}) {OPENED}) AS o",
+    "scd2_repair": "SELECT * FROM " + versions(
+        f"""(SELECT video_id, ingest_date, CASE WHEN ingest_date = DATE '{RETITLE_DAY}'
+                    THEN regexp_replace(video_title, ' v2$', '') ELSE video_title END AS video_title
+             FROM chart WHERE ingest_date <> DATE '{RETITLE_DAY}' OR CAST(video_id AS BIGINT) % 4 <> 0)""",
+        "video_id",
+        "video_title",
+    ) + " AS v",
     "scd2_from_history": f"SELECT * FROM {VIDEO_VERSIONS} AS v",
     "bridge_refresh": f"""
         SELECT l.video_id, v.video_title, l.tag_name

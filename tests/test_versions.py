@@ -1,5 +1,7 @@
 """Type-1 and type-2 dimensions, surrogate keys."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,3 +128,41 @@ def test_assigned_keys_extend_known_ones(spark):
     known = spark.createDataFrame([("a", 7)], "id string, k bigint")
     rows = spark.createDataFrame([("a",), ("b",)], "id string")
     assert as_set(keys.assign_keys(rows, known, ["id"], "k")) == {("a", 7), ("b", 8)}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_days_in_any_order_with_corrections_equal_the_history(spark, seed):
+    rng = random.Random(seed)
+    names = [f"2024-01-{d:02}" for d in range(1, 11)]
+    draw = lambda: [(i, rng.choice(["A", "B", None])) for i in "abcdef" if rng.random() < 0.6]
+    # every day once, in any order, and some of them again with other rows
+    deliveries = [*rng.sample(names, 10), *rng.choices(names, k=3)]
+    days, dim, keyed = {}, spark.createDataFrame([], DIM), {}
+    for day in deliveries:
+        known = history(spark, list(days.items())) if any(days.values()) else history(spark, [("2024-01-01", [("x", "X")])]).limit(0)
+        days[day] = draw()
+        rows = batch(spark, *days[day]) if days[day] else batch(spark, ("x", "X")).limit(0)
+        after = scd.scd2_repair(dim, known, rows, ["id"], ["name"], day, "k", date="day").collect()
+        dim = spark.createDataFrame(after, DIM)
+        want = scd.scd2_from_history(history(spark, list(days.items())), ["id"], ["name"], "day")
+        assert {(r.id, r.name, r.valid_from, r.valid_to, r.is_current) for r in after} == as_set(want, *PERIOD)
+        # keys are distinct, and what kept its start and name keeps its key
+        assert len({r.k for r in after}) == len(after)
+        now = {(r.id, r.name, r.valid_from): r.k for r in after}
+        assert all(now[v] == k for v, k in keyed.items() if v in now)
+        keyed = now
+
+
+def test_repair_leaves_other_keys_alone(spark):
+    days = [("2024-01-01", [("a", "A"), ("b", "B")]), ("2024-01-03", [("a", "C"), ("b", "D")])]
+    dim = keys.number_rows(
+        scd.scd2_from_history(history(spark, days), ["id"], ["name"], "day"), ["id", "valid_from"], "k"
+    )
+    before = {tuple(r) for r in dim.filter("id = 'b'").select("k", *PERIOD).collect()}
+    after = scd.scd2_repair(dim, history(spark, days), batch(spark, ("a", "B")), ["id"], ["name"], "2024-01-02", "k", date="day")
+    assert {tuple(r) for r in after.filter("id = 'b'").select("k", *PERIOD).collect()} == before
+    assert as_set(after.filter("id = 'a'"), "name", "valid_from", "valid_to") == {
+        ("A", date("2024-01-01"), date("2024-01-02")),
+        ("B", date("2024-01-02"), date("2024-01-03")),
+        ("C", date("2024-01-03"), None),
+    }
