@@ -95,46 +95,38 @@ def explode_tags(df: DataFrame, tags: str = "video_tags", out: str = "tag") -> D
     return df.withColumn(out, F.explode(tags)).drop(tags)
 
 
-def region_counts(
-    rows: DataFrame, group: list[str], regions: tuple[str, ...], cols: ChartColumns = CHART
+def region_lists(
+    rows: DataFrame, group: list[str], regions: tuple[str, ...], *more: Column, cols: ChartColumns = CHART
 ) -> DataFrame:
-    """Per group, how many rows it has in each region, as columns ``n0..``.
+    """Per group the regions it has rows in, as a sorted list of (region, n).
 
-    Fixed-width counters per region of the scope: the state does not grow with
-    the group, and repeats collapse before the exchange.
+    Rows collapse per (group, region) before any exchange, and again per group:
+    neither the plan nor the state grows with the number of regions asked for,
+    only with those a group is in.  ``more`` are maxima to take along.
     """
-    return rows.groupBy(*group).agg(
-        *[
-            F.count(F.when(F.col(cols.region) == r, 1)).alias(f"n{i}")
-            for i, r in enumerate(regions)
-        ]
+    counted = (
+        rows.filter(F.col(cols.region).isin(*regions))
+        .groupBy(*group, F.col(cols.region).alias("region"))
+        .agg(F.count(F.lit(1)).alias("n"), *[F.max(c) for c in more])
     )
+    taken = counted.columns[len(group) + 2 :]
+    pattern = F.array_sort(F.collect_list(F.struct("region", "n"))).alias("pattern")
+    maxima = [F.max(F.col(f"`{t}`")).alias(f"_max{i}") for i, t in enumerate(taken)]
+    return counted.groupBy(*group).agg(pattern, *maxima)
 
 
 def region_patterns(
     rows: DataFrame, regions: tuple[str, ...], by: list[str], cols: ChartColumns = CHART
 ) -> DataFrame:
-    """How many entities share each pattern of per-region counts, per ``by``.
+    """How many entities share each list of regions and counts, per ``by``.
 
     Everything about regional overlap follows from this small table, because
-    entities with the same pattern contribute the same.
+    entities with the same list contribute the same.
     """
-    counters = [f"n{i}" for i in range(len(regions))]
     # an entity is an appearance on one day; NULL never equals itself in a join
-    entities = region_counts(
-        rows.filter(F.col(cols.entity).isNotNull()), [cols.date, cols.entity], regions, cols
-    )
-    return entities.groupBy(*by, *counters).agg(F.count(F.lit(1)).alias("entities"))
-
-
-def by_region(regions: tuple[str, ...], region: str, count: str) -> Column:
-    """The counters of ``region_counts`` as an array of (region, count), to be inlined."""
-    return F.array(
-        *[
-            F.struct(F.lit(r).alias(region), F.col(f"n{i}").alias(count))
-            for i, r in enumerate(regions)
-        ]
-    )
+    present = rows.filter(F.col(cols.entity).isNotNull())
+    entities = region_lists(present, [cols.date, cols.entity], regions, cols=cols)
+    return entities.groupBy(*by, "pattern").agg(F.count(F.lit(1)).alias("entities"))
 
 
 def pair_counts(
@@ -145,14 +137,10 @@ def pair_counts(
     Same numbers as joining the chart to itself on (date, entity), without the
     join: pairs are formed from the pattern table, not from the rows.
     """
-    rows = df.filter(F.col(cols.region).isin(*regions))
-    patterns = region_patterns(rows, regions, by, cols)
-    left = patterns.select("*", F.inline(by_region(regions, "region_a", "count_a")))
-    pairs = left.filter("count_a > 0").select(
-        "*", F.inline(by_region(regions, "region_b", "count_b"))
-    )
+    patterns = region_patterns(df, regions, by, cols)
+    left = patterns.select("*", F.inline("pattern").alias("region_a", "count_a"))
     return (
-        pairs.filter("count_b > 0")
+        left.select("*", F.inline("pattern").alias("region_b", "count_b"))
         .groupBy(*by, "region_a", "region_b")
         .agg(F.sum(F.col("count_a") * F.col("count_b") * F.col("entities")).alias("shared"))
     )

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.operators.joins import by_region, pair_counts, region_counts, region_patterns
-from chartloom.operators.overview import present_in
+from chartloom.operators.joins import pair_counts, region_lists, region_patterns
 from chartloom.operators.scope import Scope, scope_filter
 from chartloom.operators.topk import top_k
 from chartloom.schemas import CHART, ChartColumns
@@ -39,14 +38,13 @@ def exclusive_shared(df: DataFrame, scope: Scope, cols: ChartColumns = CHART) ->
     else:
         # over all days an entity is judged by all its appearances together
         rows = rows.filter(F.col(cols.entity).isNotNull())
-        patterns = region_counts(rows, [cols.entity], regions, cols).withColumn(
+        patterns = region_lists(rows, [cols.entity], regions, cols=cols).withColumn(
             "entities", F.lit(1).cast("bigint")
         )
     appearances = F.col("_n") * F.col("entities")
+    several = (F.size("pattern") > 1).alias("_several")
     return (
-        patterns.withColumn("_several", present_in(regions) > 1)
-        .select("_several", "entities", F.inline(by_region(regions, cols.region, "_n")))
-        .filter("_n > 0")
+        patterns.select(several, "entities", F.inline("pattern").alias(cols.region, "_n"))
         .groupBy(cols.region)
         .agg(
             F.sum(F.when(F.col("_several"), 0).otherwise(appearances)).alias("exclusive"),
@@ -60,24 +58,16 @@ def cross_region(
 ) -> DataFrame:
     """The k videos charting in most regions, with the regions they chart in.
 
-    Ranked on fixed-width state; titles and channels, the widest columns, are
+    Ranked on counts per video and region; titles and channels, the widest columns, are
     read for the k winners only.
     """
-    regions = scope.region_list()
     rows = scope_filter(df, scope, cols)
-    charting = [F.when(F.col(f"n{i}") > 0, F.lit(r)) for i, r in enumerate(regions)]
-    views = rows.groupBy(cols.entity).agg(
-        *[
-            F.count(F.when(F.col(cols.region) == r, 1)).alias(f"n{i}")
-            for i, r in enumerate(regions)
-        ],
-        F.max(cols.views).alias("views"),
-    )
-    candidates = views.select(
+    per_video = region_lists(rows, [cols.entity], scope.region_list(), F.col(cols.views), cols=cols)
+    candidates = per_video.select(
         cols.entity,
-        present_in(regions).alias("regions"),
-        F.array_join(F.array_compact(F.array(*charting)), " ").alias("charts"),
-        "views",
+        F.size("pattern").alias("regions"),
+        F.array_join("pattern.region", " ").alias("charts"),
+        F.col("_max0").alias("views"),
     ).filter("regions > 1")
     order = [F.desc("regions"), F.desc_nulls_last("views")]
     winners = top_k(candidates, order, k, [cols.entity])

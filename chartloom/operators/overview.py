@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartloom.functions import lower_median, none_if_zero, with_median
-from chartloom.operators.joins import region_counts
+from chartloom.operators.joins import region_lists
 from chartloom.operators.scope import Scope, scope_filter
 from chartloom.schemas import CHART, ChartColumns
 
@@ -82,20 +80,13 @@ def overview_delta(
     return out
 
 
-def present_in(regions: tuple[str, ...]) -> Column:
-    """Number of regions with a non-zero counter of ``region_counts``."""
-    return reduce(
-        lambda a, b: a + b, [F.when(F.col(f"n{i}") > 0, 1).otherwise(0) for i in range(len(regions))]
-    )
-
-
 def spread(df: DataFrame, scope: Scope, cols: ChartColumns = CHART) -> DataFrame:
     """Videos, videos in more than one region, and their percentage (0 if none)."""
     regions = scope.region_list()
-    per_video = region_counts(scope_filter(df, scope, cols), [cols.entity], regions, cols)
+    per_video = region_lists(scope_filter(df, scope, cols), [cols.entity], regions, cols=cols)
     totals = per_video.agg(
         F.count(F.lit(1)).alias("videos"),
-        F.coalesce(F.sum(F.when(present_in(regions) > 1, 1).otherwise(0)), F.lit(0)).alias(
+        F.coalesce(F.sum(F.when(F.size("pattern") > 1, 1).otherwise(0)), F.lit(0)).alias(
             "shared_videos"
         ),
     )

@@ -354,3 +354,32 @@ def test_change_counts_from_zero_after_a_day_without_the_region(spark):
     ]
     one = overview.overview_delta(rows, Scope("2024-03-03", ("AA",))).collect()
     assert [(r.row_count, r.row_count_delta) for r in one] == [(5, 5)]
+
+
+def test_many_regions_do_not_widen_the_plan(spark):
+    names = tuple(f"R{i:03}" for i in range(300))
+    # each entity charts in one to three regions, some of them twice
+    entities = spark.range(100_000).select(F.col("id").cast("string").alias("video_id"), "id")
+    region = lambda k: F.concat(F.lit("R"), F.lpad(((F.col("id") * k + k) % 300).cast("string"), 3, "0"))
+    chosen = F.array(*[region(k) for k in (1, 7, 7, 31)])
+    columns = dict(zip(chart_of(spark, []).columns, appearance()))
+    fixed = {n: F.lit(x) for n, x in columns.items() if n not in ("video_id", "region_code", "video_tags")}
+    rows = entities.select(
+        "video_id", F.explode(chosen).alias("region_code"), F.array(F.lit("t")).alias("video_tags"),
+        *[c.alias(n) for n, c in fixed.items()],
+    ).select(*columns)
+    every = Scope(regions=names)
+    want = Counter()
+    for i in range(100_000):
+        held = Counter(f"R{(i * k + k) % 300:03}" for k in (1, 7, 7, 31))
+        for a, n in held.items():
+            for b, m in held.items():
+                want[a, b] += n * m
+    got = overlap.region_overlap(rows, every)
+    assert {(r.region_a, r.region_b): r.shared for r in got.collect()} == want
+    width = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")[1])
+    for build in (overlap.region_overlap, overlap.exclusive_shared, overview.spread, overlap.cross_region):
+        few, many = build(rows, Scope(regions=names[:5])), build(rows, every)
+        assert width(many) == width(few)
+    several = sum(len({(i * k + k) % 300 for k in (1, 7, 31)}) > 1 for i in range(100_000))
+    assert one(overview.spread(rows, every))["shared_videos"] == several
