@@ -9,8 +9,13 @@ The bands belong to the script that most letters of a text have.  They are
 taken from the measures of all documents that pass the base rules: the median,
 and MARGIN times the distance from it to the 5th or 95th percentile, but never
 closer to the median than the factor SLACK.  No band is wider than DEFAULT,
-however much of the input is noise.  A script with fewer than LEAST_DOCS
-documents has the bands DEFAULT instead.
+however much of the input is noise.  The fewer documents a script has, the
+closer its bands lie to DEFAULT: they are the mean of both, weighted by the
+number of documents and by PRIOR.
+
+Percentiles are exact over measures cut to GRID cells per unit: documents are
+counted per cell, of which there is a bounded number, and the cells are walked
+in order.  Limits depend on the documents alone, not on partitions or order.
 
 Null and empty texts have no words and fail the base rules, as does any text of
 under 50 words.  Rows are judged one by one; repeated rows get equal verdicts.
@@ -24,7 +29,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartloom.llm.common import materialize, small_or_not, text_slices
@@ -33,7 +38,8 @@ from chartloom.llm.pretokens import LETTER, classes
 from chartloom.llm.spans import BASE, code_points, hash_spans, mix, word_spans
 
 LEAST_WORDS, MOST_REPEATED = 50, 50
-MARGIN, SLACK, LEAST_DOCS = 6.0, 0.6, 30
+MARGIN, SLACK, PRIOR = 6.0, 0.6, 30
+GRID = 1000
 LEAST_SHARE = 0.05
 DEFAULT = {"cpt_low": 0.5, "cpt_high": 15.0, "share_high": 0.5, "entropy_low": 1.0}
 # The characters that count as symbols.
@@ -173,30 +179,44 @@ def measure(docs: DataFrame, vocabulary: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {MEASURES}")
 
 
-def bands(measured: DataFrame) -> DataFrame:
-    """The limits of each script, from all measured documents that pass the base rules."""
-    low, mid, high = (F.lit(p) for p in (0.05, 0.5, 0.95))
+def percentiles(measured: DataFrame) -> DataFrame:
+    """Per script its number of documents, and low, mid and high of each measure."""
+    measures = ("chars_per_token", "byte_share", "entropy")
+    cells = F.array(*[F.struct(F.lit(m), F.floor(F.col(m) * GRID)) for m in measures])
+    counted = (
+        measured.select("script", F.inline(cells).alias("measure", "cell"))
+        .groupBy("script", "measure", "cell")
+        .agg(F.count("*").alias("times"))
+    )
+    in_order = Window.partitionBy("script", "measure").orderBy("cell")
+    walked = counted.withColumn("upto", F.sum("times").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    walked = walked.withColumn("n", F.sum("times").over(Window.partitionBy("script", "measure")))
 
-    def quantile(column: str, p) -> Column:
-        return F.percentile_approx(column, p, 1000)
+    def first(twentieths: int, measure: str) -> Column:
+        reached = (20 * F.col("upto") >= twentieths * F.col("n")) & (F.col("measure") == measure)
+        return F.min(F.when(reached, F.col("cell"))) / GRID
 
-    cpt, entropy = quantile("chars_per_token", mid), quantile("entropy", mid)
-    share = quantile("byte_share", high)
-    limits = {
-        "cpt_low": F.least(cpt - MARGIN * (cpt - quantile("chars_per_token", low)), SLACK * cpt),
-        "cpt_high": F.greatest(cpt + MARGIN * (quantile("chars_per_token", high) - cpt), cpt / SLACK),
-        "share_high": F.greatest(MARGIN * share, F.lit(LEAST_SHARE)),
-        "entropy_low": F.least(entropy - MARGIN * (entropy - quantile("entropy", low)), SLACK * entropy),
-    }
+    places = {"low": 1, "mid": 10, "high": 19}
+    found = [first(k, m).alias(f"{m}_{name}") for m in measures for name, k in places.items()]
+    return walked.groupBy("script").agg(F.max("n").alias("n"), *found)
+
+
+def bands(measured: DataFrame) -> DataFrame:
+    """The limits of each script, from all measured documents that pass the base rules."""
+    cpt, entropy = F.col("chars_per_token_mid"), F.col("entropy_mid")
     limits = {
-        name: (F.greatest if name.endswith("_low") else F.least)(limit, F.lit(DEFAULT[name])) for name, limit in limits.items()
+        "cpt_low": F.least(cpt - MARGIN * (cpt - F.col("chars_per_token_low")), SLACK * cpt),
+        "cpt_high": F.greatest(cpt + MARGIN * (F.col("chars_per_token_high") - cpt), cpt / SLACK),
+        "share_high": F.greatest(MARGIN * F.col("byte_share_high"), F.lit(LEAST_SHARE)),
+        "entropy_low": F.least(entropy - MARGIN * (entropy - F.col("entropy_low")), SLACK * entropy),
     }
-    enough = F.count("*") >= LEAST_DOCS
-    return (
-        measured.filter(~base_failed())
-        .groupBy("script")
-        .agg(*(F.when(enough, limit).otherwise(F.lit(DEFAULT[name])).alias(name) for name, limit in limits.items()))
-    )
+    weight = F.col("n") / (F.col("n") + PRIOR)
+    blended = []
+    for name, learned in limits.items():
+        tighter = F.greatest if name.endswith("_low") else F.least
+        within = tighter(learned, F.lit(DEFAULT[name]))
+        blended.append((weight * within + (1 - weight) * DEFAULT[name]).alias(name))
+    return percentiles(measured.filter(~base_failed())).select("script", *blended)
 
 
 def base_failed() -> Column:

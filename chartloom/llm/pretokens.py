@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import unicodedata
 from functools import cache
 
 import numpy as np
+import tiktoken
 
 OTHER, LETTER, NUMBER, BLANK, BREAK = range(5)
 APOSTROPHE, SPACE = 39, 32
@@ -17,13 +17,26 @@ WHITE_SPACE = [
 CONTRACTIONS = ["s", "t", "re", "ve", "m", "ll", "d"]
 
 
+def _matches(pattern: str) -> np.ndarray:
+    """The code points that a pattern of the tokenizer library matches.
+
+    Libraries follow a Unicode version of their own, so the library is asked: with
+    bytes as its tokens it keeps what the pattern matches and drops the rest.
+    """
+    library = tiktoken.Encoding(
+        "classes", pat_str=pattern, mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={}
+    )
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    kept = bytes(library.encode_ordinary(every)).decode()
+    return np.frombuffer(kept.encode("utf-32-le"), dtype=np.uint32)
+
+
 @cache
 def classes() -> np.ndarray:
-    """The class of each code point."""
-    kinds = {"L": LETTER, "N": NUMBER}
-    table = np.fromiter(
-        (kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)), dtype=np.uint8, count=0x110000
-    )
+    """The class of each code point, as the tokenizer libraries have it."""
+    table = np.full(0x110000, OTHER, dtype=np.uint8)
+    table[_matches(r"\p{L}")] = LETTER
+    table[_matches(r"\p{N}")] = NUMBER
     table[WHITE_SPACE] = BLANK
     return table
 

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import json
 import unicodedata
-import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -201,9 +200,10 @@ def _write_frames(freq: np.ndarray):
         file = frame = first = None
         held: list[np.ndarray] = []
         names: list[int | None] = []
+        n_held = 0
 
         def flush():
-            nonlocal frame, first, held, names
+            nonlocal frame, first, held, names, n_held
             sizes = [len(h) for h in held]
             row = pa.RecordBatch.from_arrays(
                 [
@@ -216,17 +216,18 @@ def _write_frames(freq: np.ndarray):
                 ],
                 names=["file", "frame", "first", "doc_ids", "n_tokens", "payload"],
             )
-            frame, first, held, names = frame + 1, first + sum(sizes), [], []
+            frame, first, held, names, n_held = frame + 1, first + n_held, [], [], 0
             return row
 
         for batch in batches:
             for f, name, data in zip(*(batch[c].to_pylist() for c in ("file", "doc_id", "ids"))):
                 ids = np.frombuffer(data, kind).astype(np.uint32)
-                if held and (f != file or sum(map(len, held)) + len(ids) > FRAME_IDS):
+                if held and (f != file or n_held + len(ids) > FRAME_IDS):
                     yield flush()
                 if f != file:
                     file, frame, first = f, 0, 0
                 held.append(ids)
+                n_held += len(ids)
                 names.append(name)
         if held:
             yield flush()

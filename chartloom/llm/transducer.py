@@ -18,7 +18,15 @@ they are compiled when first reached and kept in a bounded table.  A pre-token
 resets the machine, so a chunk that begins at one has a constant state map and
 chunk counts simply add up.
 
-Null and empty texts have no bytes and no tokens.
+A pre-token of more than LONG bytes, such as a long run of random letters, would
+have states of its own nearly everywhere; it is handed to the tokenizer library
+itself.  Batches are counted SLICE bytes at a time, cut between pre-tokens, and
+the table of states is emptied between slices when it holds MOST_STATES, so
+neither long words nor long texts make it grow without bound.
+
+Null and empty texts have no bytes and no tokens.  Whole texts are counted,
+however long.  Rows are counted one by one: repeated rows and null or repeated
+ids make no difference, and an id of any type is handed on.
 """
 
 from __future__ import annotations
@@ -31,6 +39,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from chartloom.llm.common import text_slices
 from chartloom.llm.pretokens import BLANK, LETTER, NUMBER, classes
@@ -44,6 +53,7 @@ STATES = 12
 HERE, BEFORE = 1, 2  # a pre-token begins at this symbol, at the previous one
 CHUNK = 128
 MOST_STATES, MOST_PAIRS = 400_000, 300_000
+LONG, SLICE = 4096, 1 << 21
 OFFSET = 128  # of the counts in the packed transitions
 FEW = 6
 
@@ -190,6 +200,7 @@ class Counter:
             if token["single_word"] or token["lstrip"] or token["rstrip"] or token["normalized"]:
                 raise ValueError(f"unsupported added token {token['content']}")
         self.special = [token["content"] for token in spec["added_tokens"]]
+        self.library = Tokenizer.from_file(path)
         letters = byte_alphabet()
         to_bytes = lambda s: bytes(letters[c] for c in s)
         self.rank = {}
@@ -277,6 +288,25 @@ class Counter:
 
     def count(self, data: np.ndarray, starts: np.ndarray, forced: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where chunks begin and their tokens; a chunk begins at each place in ``forced``."""
+        edges = np.append(np.flatnonzero(starts), len(data))
+        long = np.flatnonzero(np.diff(edges) > LONG)
+        cuts = edges[np.searchsorted(edges, np.arange(SLICE, len(data), SLICE))]
+        bounds = np.unique(np.concatenate(([0, len(data)], edges[long], edges[long + 1], cuts)))
+        apart = set(edges[long].tolist())
+        begins, counts = [], []
+        for first, last in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            if first in apart:
+                text = data[first:last].tobytes().decode()
+                begin, count = [first], [len(self.library.encode(text, add_special_tokens=False).ids)]
+            else:
+                inside = forced[np.searchsorted(forced, first) : np.searchsorted(forced, last)]
+                begin, count = self._count(data[first:last], starts[first:last], inside - first)
+                begin = begin + first
+            begins.append(begin)
+            counts.append(count)
+        return np.concatenate(begins), np.concatenate(counts)
+
+    def _count(self, data: np.ndarray, starts: np.ndarray, forced: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if len(self.states) > MOST_STATES:
             self._clear()
         edges = np.flatnonzero(starts)

@@ -4,13 +4,16 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
+import sentencepiece
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -23,6 +26,7 @@ from chartloom.llm import (
     fuzzy_lines,
     language_id,
     near_dups,
+    pretokens,
     rans,
     substrings,
     token_files,
@@ -131,6 +135,45 @@ def test_fertility_base_counts(spark, odd, none, documents):
     assert fertility.judge(rows_of(none), PIECES).count() == 0
 
 
+def test_fertility_measures_equal_those_of_single_words(documents, odd):
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for docs in (rows_of(odd).filter("length(text) < 50000"), documents.limit(60)):
+        rows = docs.collect()
+        measured = fertility.measure(docs.sparkSession.createDataFrame(rows, docs.schema), PIECES).collect()
+        got = sorted((str(r.doc_id), r.n_words, r.n_tokens, round(r.chars_per_token, 9), round(r.byte_share, 9), round(r.entropy, 9)) for r in measured)
+        want = []
+        for row in rows:
+            words = re.findall(r"[^\x20\x09-\x0D]+", row.text or "")
+            ids = [i for w in words for i in model.encode(w)]
+            n = max(1, len(ids))
+            entropy = sum(-k / n * np.log2(k / n) for k in Counter(ids).values())
+            share = sum(model.is_byte(i) for i in ids) / n
+            want.append((str(row.doc_id), len(words), len(ids), round(sum(map(len, words)) / n, 9), round(share, 9), round(entropy, 9)))
+        assert got == [tuple(float(x) if isinstance(x, np.floating) else x for x in w) for w in sorted(want)]
+
+
+def test_fertility_bands_depend_on_the_documents_alone(spark):
+    random.seed(17)
+    values = [(s, 10, 0, random.gauss(4, 1), random.random() / 9, random.gauss(6, 1)) for s, n in (("latin", 5000), ("thai", 29), ("han", 1)) for _ in range(n)]
+    measured = spark.createDataFrame(values, "script string, n_words long, n_repeat_words long, chars_per_token double, byte_share double, entropy double")
+    measured = measured.withColumn("n_words", F.lit(100))
+    found = [sorted(fertility.bands(measured.repartition(n)).collect()) for n in (1, 3, 16)]
+    assert found[0] == found[1] == found[2]
+    for script, low, high, share, entropy in found[0]:
+        own = [v for v in values if v[0] == script]
+        weight = len(own) / (len(own) + fertility.PRIOR)
+        at = lambda i, k: sorted(np.floor(v[i] * 1000) / 1000 for v in own)[-(-k * len(own) // 20) - 1]
+        cpt, ent = at(3, 10), at(5, 10)
+        learned = {
+            "cpt_low": max(min(cpt - 6 * (cpt - at(3, 1)), 0.6 * cpt), 0.5),
+            "cpt_high": min(max(cpt + 6 * (at(3, 19) - cpt), cpt / 0.6), 15),
+            "share_high": min(max(6 * at(4, 19), 0.05), 0.5),
+            "entropy_low": max(min(ent - 6 * (ent - at(5, 1)), 0.6 * ent), 1),
+        }
+        want = [weight * learned[name] + (1 - weight) * default for name, default in fertility.DEFAULT.items()]
+        assert np.allclose([low, high, share, entropy], want)
+
+
 def test_fertility_rejects_noise_and_keeps_prose(spark, documents):
     random.seed(3)
     noise = [(10**6 + i, " ".join("".join(random.choice("ĀęƠǄʣϞҔ֏߷ࢠ") for _ in range(9)) for _ in range(60 + i))) for i in range(5)]
@@ -369,6 +412,59 @@ def test_splitter_finds_the_pre_tokens_of_the_pattern():
     assert transducer.count_texts(cases, machine).tolist() == [len(library.encode(c, add_special_tokens=False).ids) for c in cases]
 
 
+def all_letters():
+    """Texts that hold every letter and digit the library knows, in mixed surroundings."""
+    random.seed(8)
+    known = np.concatenate([pretokens._matches(r"\p{L}"), pretokens._matches(r"\p{N}")])
+    chars = [chr(c) for c in known]
+    random.shuffle(chars)
+    chars += [chr(c) for c in random.sample(range(0x30000, 0x110000), 2000) if not 0xD800 <= c < 0xE000]
+    runs = ["".join(chars[i : i + 50]) for i in range(0, len(chars), 50)]
+    return [random.choice(["", " ", "x", "1", "!"]) + run + random.choice([" z", "9", "'s", "\n"]) for run in runs]
+
+
+def test_later_letters_count_and_encode_as_in_the_libraries(spark):
+    texts = all_letters()
+    library = Tokenizer.from_file(BYTE_JSON)
+    want = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert transducer.count_texts(texts, transducer.counter(BYTE_JSON)).tolist() == want
+    ranks = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe_codec.read_ranks(RANKS), special_tokens={})
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    for row in bpe_codec.encode(docs, RANKS).select("doc_id", "ids").collect():
+        assert np.frombuffer(bytes(row.ids), "<u4").tolist() == ranks.encode_ordinary(texts[row.doc_id])
+
+
+def test_long_words_and_slices_are_counted_in_bounds(monkeypatch):
+    random.seed(9)
+    library = Tokenizer.from_file(BYTE_JSON)
+    letters = "".join(random.choices("abcdefghijklmnopqrstuvwxyzé漢", k=300_000))
+    machine = transducer.Counter(BYTE_JSON)
+    states = len(machine.states)
+    texts = [letters, "", f"some words {letters[:5000]} and more", "<|endoftext|>" + letters[:4097], " " * 9000 + "x", "7" * 8000]
+    want = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert transducer.count_texts(texts, machine).tolist() == want
+    assert len(machine.states) < states + 1000
+    # many slices, and a table that is emptied between them
+    monkeypatch.setattr(transducer, "SLICE", 500)
+    monkeypatch.setattr(transducer, "MOST_STATES", 2000)
+    words = [" ".join("".join(random.choices("abcdefgh", k=random.randint(1, 30))) for _ in range(2000)) for _ in range(3)]
+    want = [len(e.ids) for e in library.encode_batch(words, add_special_tokens=False)]
+    assert transducer.count_texts(words, machine).tolist() == want
+    assert len(machine.states) < 2000 + 501 * 4
+
+
+def test_frames_of_empty_documents_take_linear_time():
+    n = 100_000
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.zeros(n, np.int32)), pa.array(np.arange(n)), pa.array([np.array([1], np.uint16).tobytes()] * n)],
+        names=["file", "doc_id", "ids"],
+    )
+    freq = rans.shared_table(np.ones(4, dtype=np.int64))
+    start = time.perf_counter()
+    rows = list(token_files._write_frames(freq)(iter([batch])))
+    assert sum(len(r["doc_ids"][0]) for r in rows) == n and time.perf_counter() - start < 30
+
+
 def test_bpe_equals_the_library_and_decodes(odd, none, documents):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe_codec.read_ranks(RANKS), special_tokens={})
     for docs in (rows_of(odd), documents):
