@@ -23,15 +23,16 @@ from chartloom.llm.common import BROADCAST_ROWS, materialize, small_or_not
 # rows by this factor.
 OPEN_PER_ROW, MOST_ROUNDS = 0.25, 6
 ROWS_PER_TASK, LEAST_TASKS = 250_000, 4
+PAIRS_PER_TASK = 5_000
 
 
 def _marks(edges: DataFrame) -> tuple:
     return edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
 
 
-def _written(df: DataFrame, label: str, rows: int) -> DataFrame:
-    """Write ``df`` with one task for each ROWS_PER_TASK of the rows it was made from."""
-    return materialize(df.coalesce(max(LEAST_TASKS, -(-rows // ROWS_PER_TASK))), label)
+def _written(df: DataFrame, label: str, rows: int, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Write ``df`` with one task for each ``per_task`` of the rows it was made from."""
+    return materialize(df.coalesce(max(LEAST_TASKS, -(-rows // per_task))), label)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -134,7 +135,7 @@ def link_buckets(
         if tried is not None:
             pairs = pairs.join(small_or_not(tried), ["u", "v"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        found = _written(verify(pairs).select("u", "v"), "links", pairs.count())
+        found = _written(verify(pairs).select("u", "v"), "links", pairs.count(), PAIRS_PER_TASK)
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
         labels = components(links)
