@@ -272,9 +272,7 @@ def _(spark, sf_dir):
 @query("anti_not_exists")
 def _(spark, sf_dir):
     rows = tb.chart(spark, sf_dir)
-    # versions of the day before alone, so that some videos have none
-    before = rows.filter(F.col("ingest_date") == F.date_sub(F.lit(tb.DAY).cast("date"), 1))
-    known = video_versions(before)
+    known = video_versions(until(rows, tb.DAY, strictly=True))
     batch = day_of(rows, tb.DAY).select("video_id", "video_title").distinct()
     return joins.without_current(batch, known, ["video_id"])
 
