@@ -34,8 +34,6 @@ CATEGORY = "SMALL"
 ONE_DAY = Scope(DAY, REGIONS)
 ALL_DAYS = Scope(None, REGIONS)
 CALENDAR = ("2024-01-01", "2024-12-31")
-# Up to this day some videos have been seen once.
-EARLY_DAY = "2024-01-03"
 # Days on which the category lookup of the raw zone was fetched.
 FETCHES = ("2023-12-31", "2024-01-12", "2024-01-22")
 PAGE_SIZE = 50

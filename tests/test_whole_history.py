@@ -34,3 +34,10 @@ def test_a_video_of_any_earlier_day_is_known(spark, tables):
     found = QUERIES["anti_not_exists"](spark, folder)
     assert [r.video_id for r in found.collect()] == ["3"]
     assert differences(found, connect(folder), ORACLE["anti_not_exists"]) == []
+
+
+def test_one_day_share_counts_all_days(spark, tables):
+    folder = tables({1: ["2024-01-02"], 2: ["2024-01-02", "2024-01-20"], 3: ["2024-01-21"], 4: ["2024-01-22"]})
+    found = QUERIES["one_day_share"](spark, folder)
+    assert [r.one_day_pct for r in found.collect()] == [75.0]
+    assert differences(found, connect(folder), ORACLE["one_day_share"]) == []
