@@ -165,11 +165,11 @@ def raw_rows(spark, sf_dir):
 
 
 def lookup_rows(spark, sf_dir):
-    return files.scan_category_lookup(spark, f"{tb.landing_root(spark, sf_dir)}/lookup", tb.DAY)
+    return files.scan_category_lookup(spark, tb.lookup_root(spark, sf_dir), tb.DAY)
 
 
 def lookup_history(spark, sf_dir):
-    return files.scan_lookup_versions(spark, f"{tb.landing_root(spark, sf_dir)}/lookup")
+    return files.scan_lookup_versions(spark, tb.lookup_root(spark, sf_dir))
 
 
 @query("flatten_nested")

@@ -189,20 +189,28 @@ def lookup_titles() -> list[Column]:
 
 
 def landing_root(spark: SparkSession, sf_dir: str) -> str:
-    """Raw zone: ``raw/region=/ingest_date=``, ``lookup/fetched_date=``, ``control/ingest_date=``."""
+    """Raw zone: ``raw/region=/ingest_date=`` (compressed) and ``control/ingest_date=``."""
 
     def build(path: str) -> None:
         rows = nested(chart(spark, sf_dir)).hint("rebalance", F.col("ingest_date"), F.col("region"))
-        rows.write.partitionBy("region", "ingest_date").json(f"{path}/raw")
+        rows.write.partitionBy("region", "ingest_date").json(f"{path}/raw", compression="gzip")
+        write_manifests(spark, path, f"{path}/control")
+
+    return once(spark, sf_dir, "landing", build)
+
+
+def lookup_root(spark: SparkSession, sf_dir: str) -> str:
+    """The category lookups of the raw zone: ``fetched_date=``."""
+
+    def build(path: str) -> None:
         types = table(spark, sf_dir, "part").select(F.col("p_type").alias("id")).distinct()
         for fetched, title in zip(FETCHES, lookup_titles()):
             # an outdated entry of each id comes before the one that counts
             both = types.select("id", F.explode(F.array(F.concat(F.lit("zz "), title), title)).alias("title"))
             entries = both.filter("title IS NOT NULL").withColumn("assignable", F.lit(True))
-            entries.coalesce(1).write.json(f"{path}/lookup/fetched_date={fetched}")
-        write_manifests(spark, path, f"{path}/control")
+            entries.coalesce(1).write.json(f"{path}/fetched_date={fetched}")
 
-    return once(spark, sf_dir, "landing", build)
+    return once(spark, sf_dir, "lookup", build)
 
 
 def delivered(rows: DataFrame) -> DataFrame:

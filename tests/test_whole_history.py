@@ -19,7 +19,7 @@ def tables(spark, tmp_path):
         rows = spark.createDataFrame(events, EVENTS.replace("timestamp", "string"))
         rows = rows.withColumn("ts", rows["ts"].cast("timestamp_ntz"))
         rows.coalesce(1).write.parquet(str(tmp_path / "e"))
-        parts = spark.createDataFrame([(v, f"name {v}", "Brand#1", "SMALL", 1, 1.0) for v in days_of], PARTS)
+        parts = spark.createDataFrame([(v, f"name {v}", "Brand#1", ("SMALL", "STANDARD")[v % 2], 1, 1.0) for v in days_of], PARTS)
         parts.coalesce(1).write.parquet(str(tmp_path / "p"))
         for folder, name in (("e", "events"), ("p", "part")):
             (found,) = (tmp_path / folder).glob("*.parquet")
