@@ -12,6 +12,8 @@ from chartloom.session import materialize
 # Pages per block in running totals: a window never holds more rows than this
 # inside a block, and sees one row per block above it.
 PAGE_BLOCK = 4096
+# Low bits of monotonically_increasing_id(): the row's number in its partition.
+_ROW_BITS = 33
 
 
 def list_positions(
@@ -21,35 +23,35 @@ def list_positions(
 
     ``order`` must be unique inside a list.  A window over ``by`` alone would
     sort a whole list in one task.  Here the rows are cut into even ranges of
-    (list, order), numbered inside each range, and shifted by the sizes of the
-    ranges before.  The ranges are written first: they come from a sample, and
-    both the sizes and the rows have to see the same cut.
+    (list, order), sorted and numbered inside each range, and shifted by the
+    places of their list in the ranges before.  The ranges are written first:
+    they come from a sample, and both the sizes and the rows have to see the
+    same cut.  Only that cut moves whole rows.
     """
-    part = "_range"
+    part, row = "_range", "_row"
     ranged = materialize(
-        df.repartitionByRange(*[F.col(c) for c in by], *order).withColumn(
-            part, F.spark_partition_id()
-        ),
+        df.repartitionByRange(*[F.col(c) for c in by], *order)
+        .sortWithinPartitions(*[F.col(c) for c in by], *order)
+        .withColumn("_id", F.monotonically_increasing_id())
+        .withColumn(part, F.shiftright("_id", _ROW_BITS).cast("int"))
+        .withColumn(row, F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
+        .drop("_id"),
         "ranges",
     )
-    sizes = ranged.groupBy(*by, part).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = ranged.groupBy(*by, part).agg(F.count(F.lit(1)).alias("_rows"), F.min(row).alias("_first"))
     # one row per list and range it touches
     earlier = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(
         *[F.col(c).alias(f"_by_{c}") for c in by],
         F.col(part).alias("_of_range"),
-        F.sum("_rows").over(earlier).alias("_shift"),
-    ).filter("_shift IS NOT NULL")
-    # Only a list that goes on into its next range needs a shift there, and a
-    # cut lies inside one list at most: fewer rows than there are ranges.
-    same_list = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
-    shifted = ranged.join(
-        F.broadcast(shifts),
-        reduce(lambda a, b: a & b, same_list, F.col(part) == F.col("_of_range")),
-        "left",
+        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
-    inside = Window.partitionBy(part, *by).orderBy(*order)
-    position = F.row_number().over(inside) + F.coalesce("_shift", F.lit(0))
+    # One row per list and cut inside one; written, so that the planner knows
+    # whether they are few enough to be broadcast.
+    shifts = materialize(shifts, "range-shifts")
+    same_list = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    shifted = ranged.join(shifts, reduce(lambda a, b: a & b, same_list, F.col(part) == F.col("_of_range")))
+    position = F.col(row) + F.lit(1) + F.col("_shift")
     return shifted.select(*df.columns, position.cast("bigint").alias(out))
 
 

@@ -43,8 +43,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def derive_chart(events: DataFrame, part: DataFrame) -> DataFrame:
-    """The flat chart out of an event stream and an entity table, without ranks.
+def derive_appearances(events: DataFrame, part: DataFrame) -> DataFrame:
+    """One row per entity, event type and date out of an event stream, with the entity's columns.
 
     The events collapse by (user, type, date) before any exchange; a user then
     has at most one row per type and day, which bounds the window.
@@ -61,15 +61,17 @@ def derive_chart(events: DataFrame, part: DataFrame) -> DataFrame:
     )
     first_seen = F.min("first_ts").over(Window.partitionBy("user_id"))
     entity = part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    joined = per.withColumn("u_first", first_seen).join(
-        entity, F.col("user_id") == F.col("p_partkey")
-    )
+    return per.withColumn("u_first", first_seen).join(entity, F.col("user_id") == F.col("p_partkey"))
+
+
+def chart_rows(joined: DataFrame, *more: str) -> DataFrame:
+    """The flat chart out of appearances, with ``more`` of their columns."""
     retitled = (F.col("user_id") % 7 == 0) & (F.col("ingest_date") >= F.lit("2024-01-16").cast("date"))
     renamed = F.col("p_brand").endswith("3") & (
         F.col("ingest_date") >= F.lit("2024-01-20").cast("date")
     )
     return joined.select(
-        "user_id",
+        *more,
         F.col("user_id").cast("string").alias("video_id"),
         F.concat("p_name", F.when(retitled, " v2").otherwise("")).alias("video_title"),
         iso_text(F.timestamp_add("HOUR", -F.col("p_size"), F.col("u_first"))).alias("published_at"),
@@ -89,15 +91,16 @@ def derive_chart(events: DataFrame, part: DataFrame) -> DataFrame:
 
 def ranked_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived chart with each row's place in its region's list of the day."""
-    unranked = derive_chart(table(spark, sf_dir, "events"), table(spark, sf_dir, "part"))
+    seen = derive_appearances(table(spark, sf_dir, "events"), table(spark, sf_dir, "part"))
+    # texts are made after the rows have moved
     ranked = list_positions(
-        unranked,
-        ["region_code", "ingest_date"],
-        [F.desc("view_count"), F.asc("user_id")],
+        seen,
+        ["event_type", "ingest_date"],
+        [F.desc("views"), F.asc("user_id")],
         "regional_rank",
     )
     place = F.col("regional_rank").cast("int")
-    return ranked.withColumn("regional_rank", place).select(*FLAT_COLUMNS, "ingest_date")
+    return chart_rows(ranked.withColumn("regional_rank", place), "regional_rank").select(*FLAT_COLUMNS, "ingest_date")
 
 
 _built: dict[tuple[str, ...], str] = {}

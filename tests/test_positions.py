@@ -59,3 +59,11 @@ def test_offsets_cross_blocks(spark):
     for page in range(0, 20_000, 7):
         assert got[page] == total
         total += page % 5
+
+
+def test_positions_move_rows_once(spark):
+    rows = skewed(spark)
+    placed = list_positions(rows, ["list"], [F.desc("score"), F.asc("id")], "place")
+    text = placed._jdf.queryExecution().executedPlan().toString()
+    # written ranges are in order: numbering them takes neither a window nor an exchange
+    assert "Window" not in text and "Exchange hashpartitioning" not in text
