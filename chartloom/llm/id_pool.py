@@ -18,7 +18,9 @@ class IdPool:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[int, int] = {}
+        # hashes in ascending order, and the number of each word
+        self.known = np.zeros(0, dtype=np.uint64)
+        self.number = np.zeros(0, dtype=np.int64)
         self.size = np.zeros(0, dtype=np.int64)
         self.begin = np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(0, dtype=np.uint32)
@@ -27,17 +29,22 @@ class IdPool:
         """Where the pool holds each hash; ``word`` gives the words at some places of ``hashes``."""
         if len(self.known) > self.words_kept:
             self._clear()
-        listed = hashes.tolist()
-        places = np.array([self.known.get(h, -1) for h in listed], dtype=np.int64)
+        at = np.searchsorted(self.known, hashes)
+        places = np.full(len(hashes), -1, dtype=np.int64)
+        inside = np.flatnonzero(at < len(self.known))
+        inside = inside[self.known[at[inside]] == hashes[inside]]
+        places[inside] = self.number[at[inside]]
         missing = np.flatnonzero(places < 0)
         if len(missing):
             ids, size = self.learn(word(missing.tolist()))
             n = len(self.size)
-            self.known.update(zip((listed[i] for i in missing.tolist()), range(n, n + len(missing))))
+            places[missing] = np.arange(n, n + len(missing))
+            order = missing[np.argsort(hashes[missing], kind="stable")]
+            self.known = np.insert(self.known, at[order], hashes[order])
+            self.number = np.insert(self.number, at[order], places[order])
             self.begin = np.concatenate((self.begin, len(self.ids) + np.cumsum(size) - size))
             self.size = np.concatenate((self.size, size))
             self.ids = np.concatenate((self.ids, ids))
-            places[missing] = np.arange(n, n + len(missing))
         return places
 
     def gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
