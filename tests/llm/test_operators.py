@@ -21,6 +21,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from chartloom.llm import (
     bpe_codec,
+    components,
     decontamination,
     fertility,
     fuzzy_lines,
@@ -35,7 +36,7 @@ from chartloom.llm import (
 )
 from chartloom.llm.common import rows_of, table
 from chartloom.llm.queries import ORACLE, QUERIES
-from chartloom.session import scratch_path
+from chartloom.session import materialize, scratch_path
 from compare import connect, differences
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -303,6 +304,40 @@ def test_fuzzy_lines_find_a_changed_letter_or_word_at_every_length(spark):
 # op4
 
 
+def test_a_pair_of_open_nodes_comes_from_one_of_the_buckets_it_shares(spark):
+    rows = spark.createDataFrame([(k, n) for k in range(24) for n in range(20) if (k + n) % 3], "key long, node long")
+    kept = components._with_keys(rows)
+    met = kept.alias("l").join(kept.alias("m"), F.expr("l.key = m.key and l.node < m.node") & components._first_meeting("l.", "m."))
+    found = [(r.one, r.other) for r in met.select(F.col("l.node").alias("one"), F.col("m.node").alias("other")).collect()]
+    assert sorted(found) == list(itertools.combinations(range(20), 2))
+
+
+def test_open_pairs_are_formed_once_each(spark, monkeypatch):
+    """Nodes that share 24 buckets and no link, as texts just below the threshold."""
+    plans = []
+
+    def record(df, label):
+        if label == "pairs":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return materialize(df, label)
+
+    monkeypatch.setattr(components, "materialize", record)
+    rows = [(k, n) for k in range(24) for n in range(20)]
+    tried = []
+
+    def verify(pairs):
+        tried.extend((r.u, r.v) for r in pairs.collect())
+        return pairs.filter("u + v = 37")
+
+    labels = components.link_buckets(
+        spark.createDataFrame(rows, "key long, node long"), verify, open_per_row=100, central=True,
+        sketch=lambda nodes: nodes.withColumn("sketch", F.lit(0)), alike=lambda one, other: F.col(one + "sketch") == F.col(other + "sketch"),
+    )
+    assert sorted(tried) == list(itertools.combinations(range(20), 2))
+    assert {r.node: r.label for r in labels.collect()} == {18: 18, 19: 18}
+    assert "array_intersect" in plans[-1]
+
+
 def _jaccard(a, b):
     return sum(1 / sum(max(a[y] / a[x], b[y] / b[x]) for y in {*a, *b}) for x in a if x in b)
 
