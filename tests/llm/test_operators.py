@@ -301,6 +301,25 @@ def test_fuzzy_lines_find_a_changed_letter_or_word_at_every_length(spark):
     assert {r.row.doc_id for r in found.filter("n_removed = 1").collect()} == set(range(1, 600, 2))
 
 
+def test_fuzzy_lines_keys_are_dealt_out_once_and_not_kept_with_lines(spark, monkeypatch):
+    written = {}
+
+    def record(df, label, **options):
+        written.setdefault(label, (df.columns, df._jdf.queryExecution().executedPlan().toString()))
+        return materialize(df, label, **options)
+
+    monkeypatch.setattr(fuzzy_lines, "materialize", record)
+    monkeypatch.setattr(components, "materialize", record)
+    rows = [(1, "some line of a text that comes twice\nshort one"), (2, "some line of a text that came twice\nshort ones"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.row.doc_id: r.n_removed for r in fuzzy_lines.deduplicate(docs).collect()} == {1: 0, 2: 2, 3: 0}
+    assert set(written["lines"][0]) == {"ord", "th", "line_no", "node", "size", "line"}
+    assert "line-hashes" not in written
+    assert written["shared-buckets"][1].count("Exchange hashpartitioning(key") == 1
+    buckets = fuzzy_lines._buckets(fuzzy_lines._lines(docs))
+    assert buckets.count() == buckets.distinct().count() > 30
+
+
 # op4
 
 
