@@ -313,7 +313,7 @@ def test_fuzzy_lines_keys_are_dealt_out_once_and_not_kept_with_lines(spark, monk
     rows = [(1, "some line of a text that comes twice\nshort one"), (2, "some line of a text that came twice\nshort ones"), (3, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.row.doc_id: r.n_removed for r in fuzzy_lines.deduplicate(docs).collect()} == {1: 0, 2: 2, 3: 0}
-    assert set(written["lines"][0]) == {"ord", "th", "line_no", "node", "size", "line"}
+    assert set(written["lines"][0]) == {"ord", "th", "line_no", "node", "size", "line", "open_end"}
     assert "line-hashes" not in written
     assert written["shared-buckets"][1].count("Exchange hashpartitioning(key") == 1
     buckets = fuzzy_lines._buckets(fuzzy_lines._lines(docs))
