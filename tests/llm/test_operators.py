@@ -2,9 +2,11 @@
 
 import hashlib
 import itertools
+import os
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -29,6 +31,7 @@ from chartloom.llm import (
     near_dups,
     pretokens,
     rans,
+    spans,
     substrings,
     token_files,
     transducer,
@@ -36,6 +39,7 @@ from chartloom.llm import (
 )
 from chartloom.llm.common import rows_of, table
 from chartloom.llm.queries import ORACLE, QUERIES
+from chartloom.llm.spans import code_points, hash_spans, word_spans
 from chartloom.session import materialize, scratch_path
 from compare import connect, differences
 
@@ -301,6 +305,53 @@ def test_fuzzy_lines_find_a_changed_letter_or_word_at_every_length(spark):
     assert {r.row.doc_id for r in found.filter("n_removed = 1").collect()} == set(range(1, 600, 2))
 
 
+def test_fuzzy_lines_move_texts_and_each_kind_of_keys_in_writes_of_their_own(spark, monkeypatch):
+    plans = []
+
+    def record(df, label, **options):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return materialize(df, label, **options)
+
+    monkeypatch.setattr(fuzzy_lines, "materialize", record)
+    monkeypatch.setattr(components, "materialize", record)
+    docs = spark.createDataFrame([(1, "some line of a text that comes twice"), (2, "some line of a text that came twice")], "doc_id long, text string")
+    assert {r.row.doc_id: r.n_removed for r in fuzzy_lines.deduplicate(docs).collect()} == {1: 0, 2: 1}
+    assert [label for label, _ in plans[:4]] == ["lines", "distinct-lines", "shared-buckets", "shared-buckets"]
+    dealt = [[plan.count(f"Exchange hashpartitioning({by}") for by in ("node", "key")] for _, plan in plans[1:4]]
+    assert dealt == [[1, 0], [0, 1], [0, 1]]
+
+
+def test_a_write_leaves_no_shuffle_files(spark):
+    def files():
+        roots = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for root in roots for _, _, names in os.walk(root) for f in names if f.startswith("shuffle_")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    said, before = spark.conf.get(name), files()
+    dealt = spark.range(1000).withColumn("k", F.xxhash64("id") % 7).groupBy("k").agg(F.sum("id").alias("s"))
+    assert sum(r.s for r in materialize(dealt, "sums").collect()) == 499500
+    assert files() == before
+    assert spark.conf.get(name) == said
+
+
+def test_edits_are_counted_without_common_ends(spark):
+    random.seed(13)
+    rows = []
+    for n in (1, 2, 9, 40, 300, 700):
+        for edits in (0, 1, n // 20, n // 10, n // 10 + 1, n // 4):
+            one = [random.choice("ab \u00e9\U0001f600") for _ in range(n)]
+            other = list(one)
+            for _ in range(edits):
+                i = random.randrange(len(other) + 1)
+                other[i : i + random.randrange(2)] = random.choice(["", "b", "zz"])
+            rows += [("".join(one), "".join(other), n // 10), ("".join(other), "".join(one), n // 10), ("".join(one), "".join(one) * 2, n // 10)]
+    pairs = spark.createDataFrame(rows, "one string, other string, most int")
+    found = pairs.select("*", fuzzy_lines._within(F.col("one"), F.col("other"), F.col("most")).alias("near"))
+    want = pairs.select("*", F.expr("levenshtein(one, other) <= most").alias("near"))
+    assert Counter(found.collect()) == Counter(want.collect())
+    assert 0 < want.filter("near").count() < len(rows)
+
+
 def test_fuzzy_lines_keys_are_dealt_out_once_and_not_kept_with_lines(spark, monkeypatch):
     written = {}
 
@@ -666,6 +717,53 @@ def test_repeats_of_null_ids_stay_with_their_text(spark):
 # pipeline
 
 
+def _most_memory(work):
+    """MB that ``work`` takes at most, beyond what it finds."""
+    tracemalloc.start()
+    try:
+        result = work()
+        return tracemalloc.get_traced_memory()[1] / 1e6, result
+    finally:
+        tracemalloc.stop()
+
+
+def test_workers_hold_little_memory_beside_a_block_of_texts(monkeypatch):
+    taken, letters = _most_memory(lambda: pretokens._matches(r"\p{L}"))
+    assert taken < 20 and len(letters) > 100_000
+    texts = ["some words of a text, " * 1000] * 45
+    pretokens.classes()
+    codes, begins = code_points(texts)
+    starts, ends = word_spans(codes)
+    spans.powers(100)
+    hash_spans(codes[:100], starts[:2], ends[:2])
+    taken, found = _most_memory(lambda: hash_spans(codes, starts, ends))
+    assert taken < 20 and len(found) == 45 * 5000 and len(set(found.tolist())) == 5
+    monkeypatch.setattr(spans, "SPANS_AT_ONCE", 10**9)
+    assert np.array_equal(found, hash_spans(codes, starts, ends))
+
+
+def test_learning_takes_few_texts_at_a_time(monkeypatch, spark):
+    seen = []
+
+    class Rows:
+        def mapInArrow(self, run, schema):
+            batch = pa.RecordBatch.from_pylist([{"doc_id": i, "lang": "en" if i % 2 else "de", "text": f"text {i}" if i % 3 else "1"} for i in range(900)])
+            self.rows = [r for out in run(iter([batch])) for r in out.to_pylist()]
+            return self
+
+        def repartition(self, *_):
+            return self
+
+        def collect(self):
+            return self.rows
+
+    whole = language_id.features
+    monkeypatch.setattr(language_id, "learning_sample", lambda *_: Rows())
+    monkeypatch.setattr(language_id, "features", lambda texts: (seen.append(len(texts)), whole(texts))[1])
+    model = language_id.fit(spark.createDataFrame([(1, "a", "en")], "doc_id long, text string, lang string"))
+    assert sum(seen) == 900 and max(seen) <= 200 and model.languages == ["de", "en"]
+
+
 def test_copies_whose_lines_all_went_leave_the_pipeline(spark):
     rows = [(1, "a first line of text\nand a second one"), (2, "a first line of text\nand a second one"), (3, "and a second one\n"), (4, ""), (5, None), (6, "a first line of text\nown words")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long"))
