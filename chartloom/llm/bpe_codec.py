@@ -35,7 +35,9 @@ from chartloom.llm.common import materialize, text_slices
 from chartloom.llm.pretokens import BREAK, byte_level_starts
 from chartloom.llm.spans import code_points, hash_spans
 
-BLOCK_CHARS = 4 << 20
+BLOCK_CHARS = 2 << 20
+# Documents that are decoded at a time.
+DECODED_AT_ONCE = 500
 WORDS_KEPT = 2_000_000
 POSITIONS = -1
 LISTING = "block long, bucket int, payload binary, ids array<long>, counts array<int>"
@@ -201,7 +203,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = dict(zip(read_ranks(vocabulary).values(), read_ranks(vocabulary))).__getitem__
-        for batch in batches:
+        for batch in (b.slice(i, DECODED_AT_ONCE) for b in batches for i in range(0, b.num_rows, DECODED_AT_ONCE)):
             texts = [b"".join(map(token, np.frombuffer(ids, "<u4").tolist())) for ids in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["ids"], pa.array(texts, pa.binary())], names=["doc_id", "ids", "decoded"]

@@ -34,7 +34,7 @@ from chartloom.llm.spans import code_points
 DIMENSIONS_LOG2 = 12
 PER_LANGUAGE = 400
 UNDETERMINED = "und"
-TEXTS_AT_ONCE = 1000
+TEXTS_AT_ONCE = 200
 # Language codes by family.
 FAMILIES = {
     "germanic": ["en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af", "lb"],
@@ -126,11 +126,12 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches):
-            x, letters = features(texts)
-            some = np.flatnonzero(letters)
-            yield pa.RecordBatch.from_arrays(
-                [part["lang"].take(pa.array(some)), pa.array([x[i].tobytes() for i in some], pa.binary())], names=["lang", "x"]
-            )
+            for i in range(0, len(texts), TEXTS_AT_ONCE):
+                x, letters = features(texts[i : i + TEXTS_AT_ONCE])
+                some = np.flatnonzero(letters)
+                yield pa.RecordBatch.from_arrays(
+                    [part["lang"].take(pa.array(some + i)), pa.array([x[k].tobytes() for k in some], pa.binary())], names=["lang", "x"]
+                )
 
     usable = labelled.select("doc_id", "text", "lang").filter("lang is not null and text is not null")
     # at most per_language vectors for each language come to the driver

@@ -9,6 +9,8 @@ import tiktoken
 
 OTHER, LETTER, NUMBER, BLANK, BREAK = range(5)
 APOSTROPHE, SPACE = 39, 32
+# Code points that the library is asked about at a time.
+PLANE_PART = 1 << 13
 # The characters with the property White_Space.
 WHITE_SPACE = [
     *range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
@@ -26,9 +28,12 @@ def _matches(pattern: str) -> np.ndarray:
     library = tiktoken.Encoding(
         "classes", pat_str=pattern, mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={}
     )
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    kept = bytes(library.encode_ordinary(every)).decode()
-    return np.frombuffer(kept.encode("utf-32-le"), dtype=np.uint32)
+    found = []
+    # a list of all ids at once would take some 100 MB of every worker
+    for begin in range(0, 0x110000, PLANE_PART):
+        some = "".join(chr(c) for c in range(begin, begin + PLANE_PART) if not 0xD800 <= c < 0xE000)
+        found.append(np.frombuffer(bytes(library.encode_ordinary(some)).decode().encode("utf-32-le"), dtype=np.uint32))
+    return np.concatenate(found)
 
 
 @cache

@@ -7,6 +7,8 @@ from functools import cache
 import numpy as np
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
+# Some thirty bytes are held for each character of these spans.
+SPANS_AT_ONCE = 1 << 15
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -62,6 +64,9 @@ def hash_spans(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """A 64-bit hash of each span; spans are sorted, not empty and do not overlap."""
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
+    if len(starts) > SPANS_AT_ONCE:
+        cuts = range(0, len(starts), SPANS_AT_ONCE)
+        return np.concatenate([hash_spans(codes, starts[i : i + SPANS_AT_ONCE], ends[i : i + SPANS_AT_ONCE]) for i in cuts])
     first, last = starts[0], ends[-1]
     lengths = ends - starts
     # +1 where a span starts, -1 where it ends; both at once where spans touch

@@ -717,6 +717,15 @@ def test_repeats_of_null_ids_stay_with_their_text(spark):
 # pipeline
 
 
+def test_decoding_has_a_stage_of_its_own_in_the_pipeline(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(1201)], "doc_id long, text string")
+    found = corpus_pipeline.bpe_encoding(spark, docs, "")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "FlatMapGroups" not in plan
+    want = {(i, hashlib.sha256(f"text {i}".encode()).hexdigest()) for i in range(1201)}
+    assert {(r.doc_id, r.decoded_sha256) for r in found.collect()} == want
+
+
 def _most_memory(work):
     """MB that ``work`` takes at most, beyond what it finds."""
     tracemalloc.start()
