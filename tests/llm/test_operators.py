@@ -321,6 +321,44 @@ def test_fuzzy_lines_move_texts_and_each_kind_of_keys_in_writes_of_their_own(spa
     assert dealt == [[1, 0], [0, 1], [0, 1]]
 
 
+def test_simhashes_of_lines_are_those_of_their_words(spark):
+    random.seed(14)
+    texts = [" ".join(random.choice("abcdefgh") * random.randrange(1, 4) for _ in range(n)) for n in (1, 2, 3, 30, 63, 64, 65, 400)]
+    docs = spark.createDataFrame([(i, x + end) for i, x in enumerate(texts) for end in ("", ".") if end or i % 2], "doc_id long, text string")
+    lines = fuzzy_lines._lines(docs)
+    want = {}
+    for r in lines.collect():
+        want[r.node] = min(want.get(r.node, r.h), r.h)
+    assert {r.node: r.h for r in fuzzy_lines._simhashes(fuzzy_lines._once(lines)).collect()} == want
+
+
+def test_keys_of_lines_are_made_once(spark):
+    once = fuzzy_lines._once(fuzzy_lines._lines(spark.createDataFrame([(1, "some line of a text")], "doc_id long, text string")))
+    for keys in fuzzy_lines._keys(once):
+        assert not re.search(r"size\((array|split|regexp|CASE)", keys._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_a_gram_further_off_than_edits_allow_makes_no_pair(spark, monkeypatch):
+    random.seed(15)
+    pairs = []
+
+    def record(df, label, **options):
+        written = materialize(df, label, **options)
+        pairs.extend(written.collect() if label == "pairs" else [])
+        return written
+
+    def words(n):
+        return ["".join(random.choice("abcdefgh") for _ in range(9)) for _ in range(n)]
+
+    monkeypatch.setattr(components, "materialize", record)
+    shared, line = words(3), words(20)
+    far = [" ".join([*shared, *words(17)]), " ".join([*words(17), *shared])]
+    near = [" ".join(line), " ".join([*line[:3], "xx", *line[3:7], "abchgf", *line[8:]])]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate([*far, *near])], "doc_id long, text string")
+    assert {r.row.doc_id: r.n_removed for r in fuzzy_lines.deduplicate(docs).collect()} == {0: 0, 1: 0, 2: 0, 3: 1}
+    assert len({(r.u, r.v) for r in pairs}) == 1
+
+
 def test_a_write_leaves_no_shuffle_files(spark):
     def files():
         roots = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
