@@ -338,6 +338,12 @@ def test_keys_of_lines_are_made_once(spark):
         assert not re.search(r"size\((array|split|regexp|CASE)", keys._jdf.queryExecution().optimizedPlan().toString())
 
 
+def test_long_lines_of_few_words_are_found(spark):
+    rows = [(1, "some word " * 900), (2, "some word " * 880), (3, "a few more of the words that come again " * 60), (4, "a few more of the words that come again " * 58)]
+    found = fuzzy_lines.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.row.doc_id: r.n_removed for r in found.collect()} == {1: 0, 2: 1, 3: 0, 4: 1}
+
+
 def test_a_gram_further_off_than_edits_allow_makes_no_pair(spark, monkeypatch):
     random.seed(15)
     pairs = []
